@@ -35,19 +35,24 @@ def negative_fits(
 
 
 def model_analysis(
-    rows: DataFrame, fit: ols.Fit, poisson: ppml.PoissonFit, reset_weight: str | None = None
+    ols_rows: DataFrame,
+    ppml_rows: DataFrame,
+    fit: ols.Fit,
+    poisson: ppml.PoissonFit,
+    reset_weight: str | None = None,
 ) -> DataFrame:
-    """Tests and measures of both models as (metric, value), over the rows of the fit."""
-    spark = rows.sparkSession
-    counts = negative_fits(rows, fit.model, poisson.model).first()
+    """Tests and measures of both models as (metric, value), each over the rows of its fit."""
+    spark = ppml_rows.sparkSession
+    below_ols = negative_fits(ols_rows, fit.model, fit.model).first()["ols_negative_fitted"]
+    below_ppml = negative_fits(ppml_rows, poisson.model, poisson.model).first()["ppml_negative_fitted"]
     values = [
-        ("ols_reset_pvalue", ols.reset_test(rows, fit, reset_weight)["p_value"]),
-        ("ppml_reset_pvalue", ppml.reset_ppml(rows, poisson)["p_value"]),
+        ("ols_reset_pvalue", ols.reset_test(ols_rows, fit, reset_weight)["p_value"]),
+        ("ppml_reset_pvalue", ppml.reset_ppml(ppml_rows, poisson)["p_value"]),
         ("ppml_pseudo_rsq", poisson.pseudo_r_squared),
         ("ols_r_squared", fit.r_squared),
         ("ols_n", float(fit.n)),
         ("ppml_n", float(poisson.n)),
-        ("ols_negative_fitted", float(counts["ols_negative_fitted"])),
-        ("ppml_negative_fitted", float(counts["ppml_negative_fitted"])),
+        ("ols_negative_fitted", float(below_ols)),
+        ("ppml_negative_fitted", float(below_ppml)),
     ]
     return spark.createDataFrame(values, METRICS)

@@ -56,20 +56,20 @@ def write_by_year(df: DataFrame, path: str, only_these_years: bool = False) -> N
     writer.parquet(path)
 
 
-def read_by_year(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_by_year(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """Read a table partitioned by year, the year column first."""
     reader = spark.read.schema(schema) if schema is not None else spark.read
     return bring_first(reader.parquet(path), "year")
 
 
 def read_year(
-    spark: SparkSession, path: str, year: int, schema: T.StructType | None = None
+    spark: SparkSession, path: str, year: int, schema: T.StructType | str | None = None
 ) -> DataFrame:
     """One year only; the condition is a partition filter."""
     return read_by_year(spark, path, schema).filter(F.col("year") == year)
 
 
-def try_read(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
+def try_read(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame | None:
     """The Parquet table at ``path``, or None if there is none."""
     try:
         reader = spark.read.schema(schema) if schema is not None else spark.read
@@ -128,7 +128,7 @@ def write_csv_by_year(df: DataFrame, path: str) -> None:
     df.hint("rebalance", "year").write.partitionBy("year").mode("overwrite").csv(path, header=True)
 
 
-def read_csv_dir(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_csv_dir(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """All CSV files below ``path`` as one table, with a given schema (no inference pass)."""
     return spark.read.schema(schema).csv(path, header=True)
 
