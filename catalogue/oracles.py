@@ -24,9 +24,19 @@ def quote(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+def nudge(digits: int) -> float:
+    """Added before rounding, so that short decimals never lie halfway, where engines differ."""
+    return 3.3 * 10.0 ** -(digits + 4)
+
+
+def val(expr: str, digits: int = 6) -> str:
+    """Rounded double."""
+    return f"round({expr} + {nudge(digits)!r}, {digits}) + 0.0"
+
+
 def rnd(expr: str, name: str | None = None, digits: int = 6) -> str:
-    """Rounded double; the alias is the expression's last part unless given."""
-    return f"round({expr}, {digits}) + 0.0 AS {name or expr.split('.')[-1]}"
+    """Rounded double with an alias, the expression's last part unless given."""
+    return f"{val(expr, digits)} AS {name or expr.split('.')[-1]}"
 
 
 def iso(key: str) -> str:

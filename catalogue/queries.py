@@ -44,9 +44,13 @@ def register(name: str, oracle: str | None = None, extra: dict[str, str] | None
     return add
 
 
+def nudged(c: Column, digits: int) -> Column:
+    return F.round(c + F.lit(O.nudge(digits)), digits) + F.lit(0.0)
+
+
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Doubles rounded, -0.0 as 0.0, to be compared across engines."""
-    return S.map_columns(df, ["double"], lambda c: F.round(c, digits) + F.lit(0.0))
+    return S.map_columns(df, ["double"], lambda c: nudged(c, digits))
 
 
 def select_sql(source: str, plain: str, doubles: list[str], digits: int = 6) -> str:
@@ -409,7 +413,7 @@ def kept(source: str, resid: str = "stud_resid") -> str:
     "q24_ols_small",
     f"""SELECT '(Intercept)' AS term, {O.rnd('a', 'estimate')},
   {O.rnd('sqrt(s2 * (1 / sw + mx * mx / sxx))', 'std_error')}, n FROM m
-UNION ALL SELECT 'log_dist', round(b, 6) + 0.0, round(sqrt(s2 / sxx), 6) + 0.0, n FROM m""",
+UNION ALL SELECT 'log_dist', {O.val('b')}, {O.val('sqrt(s2 / sxx)')}, n FROM m""",
     {"m": moments("xyw")},
 )
 def ols_small(fx, spark, sf_dir):
@@ -421,8 +425,8 @@ def ols_small(fx, spark, sf_dir):
 @register(
     "q25_ols_year_effects",
     f"""SELECT '(Intercept)' AS term, {O.rnd('my - b * mx', 'estimate')} FROM g, s WHERE year = y0
-UNION ALL SELECT 'log_dist', round(b, 6) + 0.0 FROM s
-UNION ALL SELECT 'year' || g.year, round((g.my - b * g.mx) - (z.my - b * z.mx), 6) + 0.0
+UNION ALL SELECT 'log_dist', {O.val('b')} FROM s
+UNION ALL SELECT 'year' || g.year, {O.val('(g.my - b * g.mx) - (z.my - b * z.mx)')}
 FROM g, s, g z WHERE g.year <> y0 AND z.year = y0""",
     {
         "g": """SELECT year, sum(w * x) / sum(w) AS mx, sum(w * y) / sum(w) AS my FROM xyw GROUP BY year""",
@@ -450,7 +454,7 @@ def influence_small(fx, spark, sf_dir):
     out = ols.influence(rows, ols.fit_wls(rows, Y, X, W))
     digits = {c: 10 if c in ("hat", "cooksd") else 8 for c in INFLUENCE}
     return out.select(
-        *TRAINING_KEYS, *[(F.round(c, d) + F.lit(0.0)).alias(c) for c, d in digits.items()]
+        *TRAINING_KEYS, *[nudged(F.col(c), d).alias(c) for c, d in digits.items()]
     )
 
 
@@ -466,7 +470,7 @@ def _rounds() -> dict[str, str]:
 @register(
     "q27_trim_rounds",
     " UNION ALL ".join(
-        f"SELECT {i} AS fit, n, round(a, 6) + 0.0 AS intercept, round(b, 6) + 0.0 AS log_dist FROM m{i}"
+        f"SELECT {i} AS fit, n, {O.val('a')} AS intercept, {O.val('b')} AS log_dist FROM m{i}"
         for i in range(4)
     ),
     _rounds(),
@@ -541,12 +545,12 @@ def mirror_output(fx, spark, sf_dir):
 @register(
     "q34_imputation_summary",
     f"""SELECT year, flag, count(*) AS n,
-  {O.rnd('count(*) / CAST(sum(count(*)) OVER (PARTITION BY year) AS DOUBLE)', 'm', 12)}
+  {O.rnd('count(*) / CAST(sum(count(*)) OVER (PARTITION BY year) AS DOUBLE)', 'm', 9)}
 FROM harmonised GROUP BY year, flag""",
 )
 def imputation_summary(fx, spark, sf_dir):
     out = imputation.impute_flows(fx.flows, fx.lookups, M.OLS_MODEL, CUTOVER_YEAR)
-    return rounded(imputation.imputation_summary(out), 12)
+    return rounded(imputation.imputation_summary(out), 9)
 
 
 @register("q35_flag_list", "SELECT DISTINCT flag FROM harmonised")
@@ -618,8 +622,8 @@ PPML_Y = "cif_fob_unit_ratio"
     f"""SELECT '(Intercept)' AS term, {O.rnd('a - b * xm', 'estimate')},
   {O.rnd('sqrt(pearson / (n - 2) * (va - 2 * xm * vab + xm * xm * vb))', 'std_error')},
   {O.rnd('r * r', 'pseudo_r_squared')} FROM k
-UNION ALL SELECT 'log_dist', round(b, 6) + 0.0, round(sqrt(pearson / (n - 2) * vb), 6) + 0.0,
-  round(r * r, 6) + 0.0 FROM k""",
+UNION ALL SELECT 'log_dist', {O.val('b')}, {O.val('sqrt(pearson / (n - 2) * vb)')},
+  {O.val('r * r')} FROM k""",
     {
         "xy": "SELECT log_dist AS x, cif_fob_unit_ratio AS y FROM training",
         **newton("xy", False),
@@ -805,7 +809,7 @@ def model_store(fx, spark, sf_dir):
 @register(
     "q49_ppml_year_effects",
     f"""SELECT '(Intercept)' AS term, {O.rnd('ln(m)', 'estimate')} FROM g WHERE year = (SELECT min(year) FROM g)
-UNION ALL SELECT 'year' || g.year, round(ln(g.m / z.m), 6) + 0.0 FROM g, g z
+UNION ALL SELECT 'year' || g.year, {O.val('ln(g.m / z.m)')} FROM g, g z
 WHERE z.year = (SELECT min(year) FROM g) AND g.year <> z.year""",
     {"g": "SELECT year, avg(cif_fob_unit_ratio) AS m FROM training GROUP BY year"},
 )

@@ -104,10 +104,17 @@ def fit_ppml(
 
 
 def reset_ppml(df: DataFrame, fit: PoissonFit) -> dict[str, float]:
-    """z test on the squared linear index, added as the first regressor."""
+    """z test on the squared linear index, added as the first regressor.
+
+    All regressors and the index are taken about their means. With an intercept in the model
+    this leaves the tested term and its error as they are, and keeps it apart from the others.
+    """
     rows = complete_rows(df, fit.y, fit.x, None, fit.group)
-    index = predict(rows, fit.model, "_index")
-    wider = index.withColumn("predict2", F.col("_index") * F.col("_index"))
+    rows = predict(rows, fit.model, "_index")
+    names = [*fit.x, "_index"]
+    means = rows.agg(*[F.avg(c).alias(c) for c in names]).first()
+    rows = rows.withColumns({c: F.col(c) - F.lit(means[c]) for c in names})
+    wider = rows.withColumn("predict2", F.col("_index") * F.col("_index"))
     more = fit_ppml(wider, fit.y, ["predict2", *fit.x], fit.group)
     z = more.estimate[1] / more.std_error[1]
     return {"statistic": z, "p_value": normal_two_sided(z)}

@@ -47,8 +47,9 @@ def difference(df: DataFrame, con: duckdb.DuckDBPyConnection, text: str) -> str
     if sorted(names) != sorted(df.columns):
         return f"columns {sorted(df.columns)} instead of {sorted(names)}"
     if got != want:
-        only_got = [r for r in got if r not in set(want)][:3]
-        only_want = [r for r in want if r not in set(got)][:3]
+        in_got, in_want = set(got), set(want)
+        only_got = [r for r in got if r not in in_want][:3]
+        only_want = [r for r in want if r not in in_got][:3]
         return f"rows {len(got)} / {len(want)}; only Spark {only_got}; only SQL {only_want}"
     return None
 
