@@ -129,20 +129,23 @@ def mirror_output(imputed: DataFrame) -> DataFrame:
     """Each flow with its mirror: the value of A to B next to the value of B to A, same flag.
 
     A full outer join of the table with itself, roles swapped, on year, both countries,
-    commodity and flag; repeated keys multiply. Both sides are shuffled by the unordered pair,
-    so they are one exchange that is written once and read twice. Rows without any exchange are
-    dropped.
+    commodity and flag; repeated keys multiply. The equal keys name the pair in alphabetical
+    order, the direction is a further condition: so both sides need the same exchange, which is
+    written once and read twice. Rows without any exchange are dropped.
     """
+    missing = F.lit("\0")  # sorts before every code and is none
+    reporter, partner = F.coalesce("reporter_iso", missing), F.coalesce("partner_iso", missing)
     base = imputed.select(
         *OUTPUT_KEYS,
         F.col("trade_value_usd_exp_imputed").alias("value"),
         F.col("exports_value").alias("flag"),
-        F.least("reporter_iso", "partner_iso").alias("_lo"),
-        F.greatest("reporter_iso", "partner_iso").alias("_hi"),
+        F.least(reporter, partner).alias("_lo"),
+        F.greatest(reporter, partner).alias("_hi"),
+        (reporter <= partner).alias("_forward"),
     )
-    same = [(k, k) for k in ("year", "_lo", "_hi", "commodity_code", "flag")]
-    on = S.same_key("e", "i", [*same, ("reporter_iso", "partner_iso"), ("partner_iso", "reporter_iso")])
-    both = base.alias("e").join(base.alias("i"), on, "full")
+    same_pair = S.same_key("e", "i", [(k, k) for k in ("year", "_lo", "_hi", "commodity_code", "flag")])
+    opposite = (F.col("e._forward") != F.col("i._forward")) | (F.col("e._lo") == F.col("e._hi"))
+    both = base.alias("e").join(base.alias("i"), same_pair & opposite, "full")
     zero = F.lit(0.0)
     out = both.select(
         F.coalesce("e.year", "i.year").alias("year"),
