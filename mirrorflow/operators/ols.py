@@ -105,9 +105,18 @@ class Fit:
 def complete_rows(
     df: DataFrame, y: str, x: Sequence[str], weight: str | None, group: str | None
 ) -> DataFrame:
-    """The model columns of rows without a missing one."""
+    """The model columns of rows without a missing one (NULL or NaN).
+
+    Written as NOT NULL conditions, which Catalyst pushes to the scan and which spare the
+    expressions built on these columns their NULL checks.
+    """
     names = list(dict.fromkeys([y, *x, *([weight] if weight else []), *([group] if group else [])]))
-    return df.select(*names).dropna(how="any")
+    out = df.select(*names)
+    for c, t in out.dtypes:
+        out = out.filter(F.col(c).isNotNull())
+        if t in ("double", "float"):
+            out = out.filter(~F.isnan(c))
+    return out
 
 
 def find_centre(df: DataFrame, y: str, x: Sequence[str]) -> Centre:
@@ -299,26 +308,31 @@ def _fit_terms(df: DataFrame, fit: Fit) -> tuple[DataFrame, Column, Column, list
     rows = []
     for t, level in enumerate(fit.levels or [None]):
         eff = [0] if t == 0 else [0, k + t]
-        lin = [float(2 * sum(g[1 + j, e] for e in eff)) for j in range(k)]
+        lin = [float(2 * sum(g[1 + j, e] for e in eff) / fit.centre.scale[j]) for j in range(k)]
         const = float(sum(g[e, f] for e in eff for f in eff))
         rows.append((level, float(sum(b[e] for e in eff)) + fit.centre.y, const, *lin))
     if fit.group:
         own = [f"_{c}{fit.n}" for c in ("level", "effect", "const", *[f"lin{j}" for j in range(k)])]
-        schema = ", ".join(f"{c} {'string' if i == 0 else 'double'}" for i, c in enumerate(own))
+        schema = ", ".join(f"{c} {'string' if i == 0 else 'double'} not null" for i, c in enumerate(own))
         per_level = df.sparkSession.createDataFrame(rows, schema)
-        df = df.join(per_level, F.col(fit.group).cast("string") == F.col(own[0]))
+        # one row per level, all of which were on the driver for the fit: broadcasting is safe
+        on = F.col(fit.group).cast("string") == F.col(own[0])
+        df = df.join(F.broadcast(per_level), on)
         effect, const, *lin = [F.col(c) for c in own[1:]]
     else:
         own = []
         effect, const, *lin = [F.lit(v) for v in rows[0][1:]]
-    z = _scaled(fit.x, fit.centre)
+    # scales go into the coefficients: the expression is evaluated per row and should stay short
+    d = [F.col(c) - F.lit(m) for c, m in zip(fit.x, fit.centre.mean)]
+    scale = fit.centre.scale
     fitted, quad = effect, const
     for i in range(k):
-        fitted = fitted + z[i] * F.lit(float(b[1 + i]))
+        fitted = fitted + d[i] * F.lit(float(b[1 + i] / scale[i]))
         inner = lin[i]
         for j in range(i, k):
-            inner = inner + z[j] * F.lit(float(g[1 + i, 1 + j] * (1 if i == j else 2)))
-        quad = quad + z[i] * inner
+            a = g[1 + i, 1 + j] * (1 if i == j else 2) / (scale[i] * scale[j])
+            inner = inner + d[j] * F.lit(float(a))
+        quad = quad + d[i] * inner
     return df, fitted, _weight(fit) * quad, own
 
 
@@ -356,21 +370,19 @@ def remove_outliers(df: DataFrame, fit: Fit, two_sided: bool = False) -> DataFra
     below 2p/n. Only large positive residuals count as outliers unless ``two_sided``.
 
     All three rules bound the leverage once the residual is known, so they are written as one
-    bound. That keeps the filter small: Catalyst pushes it down to the scan and inlines every
-    expression it refers to, and the rounds of ``fit_trimmed`` stack up.
+    bound. That keeps the filter small, and the rounds of ``fit_trimmed`` stack up: Catalyst
+    pushes each down and inlines what it refers to, and a large method is not compiled by the
+    JVM's JIT.
     """
     out, fitted, hat, own = _fit_terms(df, fit)
     df_res, s2 = fit.df_residual, fit.sigma2
-    residual = F.col(fit.y) - fitted
-    e2 = _weight(fit) * residual * residual
-    # studentised: r^2 (df-1)/(df-r^2) < 4, r^2 = e2 / (s2 (1-h))
-    r2_limit = 4.0 * df_res / (df_res + 3.0)
-    by_residual = 1 - e2 * F.lit(1.0 / (r2_limit * s2))
-    if not two_sided:
-        by_residual = F.when(residual > 0, by_residual).otherwise(F.lit(1.0))
-    # Cook: a h < (1-h)^2 with a = e2 / (limit * rank * s2); the smaller root in h
-    a2 = e2 * F.lit((fit.n - fit.p - 1) / (4.0 * fit.rank * s2)) + 2
-    by_cook = F.lit(2.0) * F.try_divide(F.lit(1.0), a2 + F.sqrt(F.greatest(a2 * a2 - 4, F.lit(0.0))))
+    e = F.sqrt(_weight(fit)) * (F.col(fit.y) - fitted)
+    # studentised, with r = e / sqrt(s2 (1-h)): r^2 (df-1) / (df - r^2) < 4
+    large = e if two_sided else F.greatest(e, F.lit(0.0))
+    by_residual = 1 - large * large * F.lit((df_res + 3.0) / (4.0 * df_res * s2))
+    # Cook: a h < (1-h)^2 with a = e^2 (n-p-1) / (4 rank s2); exp(-2 asinh(sqrt(a)/2)) is the root
+    half = 0.5 * ((fit.n - fit.p - 1) / (4.0 * fit.rank * s2)) ** 0.5
+    by_cook = F.exp(F.asinh(F.abs(e) * F.lit(half)) * F.lit(-2.0))
     bound = F.least(F.lit(min(2.0 * fit.p / fit.n, FULL_LEVERAGE)), by_residual, by_cook)
     return out.filter(hat < bound).select(*df.columns)
 

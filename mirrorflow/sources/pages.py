@@ -82,23 +82,22 @@ def extract_table(
     rows = F.regexp_extract_all(table, _literal(r"(?is)<tr\b[^>]*>(.*?)(?=</tr>|<tr\b|\z)"), F.lit(1))
 
     def cells(row: Column) -> Column:
-        raw = F.regexp_extract_all(
-            row, _literal(r"(?is)<t[hd]\b[^>]*>(.*?)(?=</t[hd]>|<t[hd]\b|\z)"), F.lit(1)
-        )
-        return F.transform(raw, element_text)
+        pattern = r"(?is)<t[hd]\b[^>]*>(.*?)(?=</t[hd]>|<t[hd]\b|\z)"
+        return F.regexp_extract_all(row, _literal(pattern), F.lit(1))
 
-    header = F.transform(cells(F.get(F.col("_rows"), F.lit(0))), snake_case_column)
+    titles = F.transform(
+        cells(F.get(F.col("_rows"), F.lit(0))), lambda c: snake_case_column(element_text(c))
+    )
     body = F.slice(F.col("_rows"), F.lit(2), F.greatest(F.size("_rows") - 1, F.lit(0)))
     out = (
         pages.select(*keys, rows.alias("_rows"))
-        .filter(F.size("_rows") > 1)
-        .select(*keys, header.alias("_header"), F.posexplode(body).alias("position", "_row"))
-        .select(*keys, "position", "_header", cells(F.col("_row")).alias("_cells"))
+        .select(*keys, titles.alias("_titles"), F.posexplode(body).alias("position", "_row"))
+        .select(*keys, "position", "_titles", cells(F.col("_row")).alias("_cells"))
     )
 
     def cell(name: str) -> Column:
-        at = F.array_position("_header", F.lit(name)).cast("int")
-        return F.when(at > 0, F.get(F.col("_cells"), at - 1)).alias(name)
+        at = F.array_position("_titles", F.lit(name)).cast("int")
+        return F.when(at > 0, element_text(F.get(F.col("_cells"), at - 1))).alias(name)
 
     return out.select(*keys, "position", *[cell(c) for c in columns])
 
