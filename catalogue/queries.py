@@ -444,15 +444,14 @@ INFLUENCE = ["fitted", "residual", "hat", "std_resid", "stud_resid", "cooksd"]
 
 @register(
     "q26_influence_small",
-    f"""SELECT {TRAINING_KEY_SQL}, {O.rnd('fitted', digits=8)}, {O.rnd('residual', digits=8)},
-  {O.rnd('hat', digits=10)}, {O.rnd('r', 'std_resid', 8)}, {O.rnd('stud_resid', digits=8)},
-  {O.rnd('cooksd', digits=10)} FROM d""",
+    f"""SELECT {TRAINING_KEY_SQL}, {O.rnd('fitted')}, {O.rnd('residual')}, {O.rnd('hat', digits=9)},
+  {O.rnd('r', 'std_resid')}, {O.rnd('stud_resid')}, {O.rnd('cooksd', digits=9)} FROM d""",
     {"m": moments("xyw"), "d": diagnosed("xyw", "m")},
 )
 def influence_small(fx, spark, sf_dir):
     rows = training_table(fx)
     out = ols.influence(rows, ols.fit_wls(rows, Y, X, W))
-    digits = {c: 10 if c in ("hat", "cooksd") else 8 for c in INFLUENCE}
+    digits = {c: 9 if c in ("hat", "cooksd") else 6 for c in INFLUENCE}
     return out.select(
         *TRAINING_KEYS, *[nudged(F.col(c), d).alias(c) for c, d in digits.items()]
     )
@@ -517,14 +516,15 @@ def fob_label(fx, spark, sf_dir):
 
 @register(
     "q31_impute_trade",
-    f"""SELECT {ROW_KEY_SQL}, flag AS exports_value, {O.rnd('fob', 'trade_value_usd_imp_fob')},
-  {O.rnd('value', 'trade_value_usd_exp_imputed')} FROM imputed""",
+    f"""SELECT {ROW_KEY_SQL}, flag AS exports_value, {O.rnd('fob', 'trade_value_usd_imp_fob', 3)},
+  {O.rnd('value', 'trade_value_usd_exp_imputed', 3)} FROM imputed""",
 )
 def impute_trade(fx, spark, sf_dir):
     return rounded(
         labelled(fx).select(
             *ROW_KEYS, "exports_value", "trade_value_usd_imp_fob", "trade_value_usd_exp_imputed"
-        )
+        ),
+        3,
     )
 
 
@@ -537,9 +537,9 @@ def zero_exporters(fx, spark, sf_dir):
 VALUES = ["trade_value_usd_exp", "trade_value_usd_imp"]
 
 
-@register("q33_mirror_output", select_sql("harmonised", f"{KEY_SQL}, flag", VALUES))
+@register("q33_mirror_output", select_sql("harmonised", f"{KEY_SQL}, flag", VALUES, 3))
 def mirror_output(fx, spark, sf_dir):
-    return rounded(harmonised(fx))
+    return rounded(harmonised(fx), 3)
 
 
 @register(
@@ -766,13 +766,16 @@ def split_ids(fx, spark, sf_dir):
     return ids.select(F.col("id").cast("long").alias("id"))
 
 
-@register("q46_write_read", select_sql("harmonised", f"{KEY_SQL}, flag", VALUES) + " WHERE year IN (1996, 2000)")
+@register(
+    "q46_write_read",
+    select_sql("harmonised", f"{KEY_SQL}, flag", VALUES, 3) + " WHERE year IN (1996, 2000)",
+)
 def write_read(fx, spark, sf_dir):
     path = scratch_path(spark, "harmonised")
     tables.write_by_year(harmonised(fx), path)
     early = tables.read_year(spark, path, 1996, schemas.HARMONISED)
     late = tables.read_by_year(spark, path).filter(F.col("year") == 2000)
-    return rounded(early.unionByName(late))
+    return rounded(early.unionByName(late), 3)
 
 
 @register(
