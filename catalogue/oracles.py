@@ -226,7 +226,7 @@ SELECT e.reporter, e.trade_flow, e.valuation, e.r, yy.y FROM (
   UNION ALL
   SELECT s.name, 'Import', CASE WHEN s.i % 2 = 0 THEN 'CIF' ELSE 'FOB' END, s.i + 100
   FROM (VALUES {SPECIAL}) s(i, name)
-  WHERE s.i IN (SELECT (c_custkey // 10) % {len(SPECIAL_REPORTERS)} FROM customer WHERE c_custkey % 10 = 3)
+  WHERE s.i IN (SELECT c_custkey % {len(SPECIAL_REPORTERS)} FROM customer)
 ) e, {NOTE_YEARS}""",
     "valuation": f"""
 SELECT DISTINCT CAST(v.y AS INTEGER) AS year, trim(v.name) AS reporter,
