@@ -3,7 +3,8 @@
 The built-in exact median keeps a map of all distinct values of a group in one task, which a
 commodity holding a large part of the rows would overflow. Here each value first falls into a
 fine logarithmic bucket. Counts per bucket, summed before the shuffle, tell which bucket holds
-the middle ranks; only the rows of that bucket (a relative width of 1/2048) are then ordered.
+the middle ranks. A bucket that still holds many rows is cut again, between its smallest and
+largest value, until it is small or holds one value; only its rows are then ordered.
 """
 
 from __future__ import annotations
@@ -14,13 +15,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mirrorflow.functions import semantics as S
-from mirrorflow.sources.scratch import keep_lazy
+from mirrorflow.sources.scratch import keep_lazy, materialise
 
 Stage = Callable[[DataFrame, str], DataFrame]
 
 _STEPS = 2048
 _ORIGIN = 750 * _STEPS  # ln of the smallest positive double is about -744
 _BEYOND = 1 << 40
+_PARTS = 4096
+MAX_ORDERED = 1_000_000
 
 
 def log_bucket(value: Column) -> Column:
@@ -31,14 +34,38 @@ def log_bucket(value: Column) -> Column:
     return F.when(value > 0, code).when(value < 0, -code).otherwise(F.lit(0)).cast("long")
 
 
+def _select(counts: DataFrame, within: Sequence[str], order: str) -> DataFrame:
+    """Of each group's buckets those that hold one of the ranks ``_lo`` and ``_hi``."""
+    upto = F.col("_start") + F.sum("_n").over(Window.partitionBy(*within).orderBy(order))
+    return (
+        counts.withColumn("_upto", upto)
+        .withColumn("_start", F.col("_upto") - F.col("_n"))
+        .filter((F.col("_start") < F.col("_hi")) & (F.col("_upto") >= F.col("_lo")))
+        .drop("_upto")
+    )
+
+
+def _members(rows: DataFrame, picked: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of the selected buckets, with the bucket's columns."""
+    on = S.same_key("v", "p", [(k, k) for k in [*keys, "_b"]])
+    inside = (F.col("v._v") >= F.col("p._min")) & (F.col("v._v") <= F.col("p._max"))
+    return rows.alias("v").join(picked.alias("p"), on & inside).select("p.*", "v._v")
+
+
 def grouped_median(
-    df: DataFrame, keys: Sequence[str], value: str, name: str, stage: Stage = keep_lazy
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    name: str,
+    stage: Stage = materialise,
+    max_ordered: int = MAX_ORDERED,
 ) -> DataFrame:
     """Median of ``value`` per group; NULL and NaN are skipped, infinities count.
 
     An even count gives the mean of the two middle values; a group without values is absent.
-    ``stage`` may write the small table of selected buckets, so that Catalyst knows its size
-    when it plans the second pass.
+    ``stage`` writes the small table of selected buckets, so that Catalyst knows its size when it
+    plans the next pass, and so that buckets above ``max_ordered`` rows can be cut further. With
+    ``keep_lazy`` the result is the same, but the first bucket is ordered as it is.
     """
     keys = list(keys)
     rows = (
@@ -46,36 +73,34 @@ def grouped_median(
         .filter(F.col("_v").isNotNull())
         .withColumn("_b", log_bucket(F.col("_v")))
     )
-    # first pass: which buckets hold the ranks _lo and _hi
-    counts = rows.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    group = Window.partitionBy(*keys)
-    total = F.sum("_n").over(group)
-    picked = (
-        counts.select(
-            *keys,
-            "_b",
-            (F.sum("_n").over(group.orderBy("_b")) - F.col("_n")).alias("_before"),
-            F.col("_n"),
-            F.floor((total + 1) / 2).alias("_lo"),
-            F.floor((total + 2) / 2).alias("_hi"),
-        )
-        .filter((F.col("_before") < F.col("_hi")) & (F.col("_before") + F.col("_n") >= F.col("_lo")))
-        .drop("_n")
+    measures = [F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max")]
+    total = F.sum("_n").over(Window.partitionBy(*keys))
+    counts = rows.groupBy(*keys, "_b").agg(*measures)
+    counts = counts.withColumns(
+        {"_lo": F.floor((total + 1) / 2), "_hi": F.floor((total + 2) / 2), "_start": F.lit(0).cast("long")}
     )
-    picked = stage(picked, "median_buckets")
+    picked = stage(_select(counts, keys, "_b"), "median_buckets")
+
+    large = (F.col("_n") > max_ordered) & (F.col("_max") > F.col("_min"))
+    while stage is not keep_lazy and not picked.filter(large).isEmpty():
+        share = F.try_divide(F.col("_v") - F.col("_min"), F.col("_max") - F.col("_min"))
+        part = F.when(large, F.floor(share * _PARTS)).otherwise(F.lit(0))
+        within = [*keys, "_b", "_bucket"]
+        counts = (
+            _members(rows, picked, keys)
+            .select(*keys, "_b", "_start", "_lo", "_hi", "_v", F.col("_min").alias("_bucket"),
+                    part.alias("_part"))
+            .groupBy(*within, "_part", "_start", "_lo", "_hi")
+            .agg(*measures)
+        )
+        picked = stage(
+            _select(counts, within, "_part").drop("_bucket", "_part"), "median_buckets"
+        )
 
-    # second pass: order the distinct values of those buckets
-    on = S.same_key("v", "p", [(k, k) for k in [*keys, "_b"]])
-    places = [*keys, "_b", "_before", "_lo", "_hi"]
-    candidates = (
-        rows.alias("v")
-        .join(picked.alias("p"), on)
-        .select(*[F.col(f"p.{c}") for c in places], F.col("v._v"))
-        .groupBy(*places, "_v")
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    upto = F.col("_before") + F.sum("_n").over(Window.partitionBy(*keys, "_b").orderBy("_v"))
-    ranked = candidates.withColumn("_upto", upto).withColumn("_from", F.col("_upto") - F.col("_n"))
+    places = [*keys, "_b", "_min", "_start", "_lo", "_hi"]
+    values = _members(rows, picked, keys).groupBy(*places, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    upto = F.col("_start") + F.sum("_n").over(Window.partitionBy(*keys, "_b", "_min").orderBy("_v"))
+    ranked = values.withColumn("_upto", upto).withColumn("_from", F.col("_upto") - F.col("_n"))
 
     def at(rank: str) -> Column:
         return F.max(
@@ -88,7 +113,7 @@ def grouped_median(
 
 
 def add_grouped_median(
-    df: DataFrame, keys: Sequence[str], value: str, name: str, stage: Stage = keep_lazy
+    df: DataFrame, keys: Sequence[str], value: str, name: str, stage: Stage = materialise
 ) -> DataFrame:
     """Write the group's median to each of its rows.
 

@@ -3,7 +3,7 @@ import random
 import statistics
 
 from mirrorflow.operators.median import add_grouped_median, grouped_median
-from mirrorflow.sources.scratch import materialise
+from mirrorflow.sources.scratch import keep_lazy
 
 INF, NAN = math.inf, math.nan
 
@@ -31,6 +31,7 @@ def test_special_values(spark):
         "zero": [0.0, 0.0, 1.0], "one": [7.0], "tiny": [5e-324, 1e308, 1.0], None: [4.0, 6.0],
     }
     assert run(spark, groups) == expected(groups)
+    assert run(spark, groups, stage=keep_lazy) == expected(groups)
 
 
 def test_random_groups_one_of_them_hot(spark):
@@ -38,11 +39,22 @@ def test_random_groups_one_of_them_hot(spark):
     groups = {f"g{i}": [math.exp(rnd.gauss(0, 2)) for _ in range(rnd.randint(1, 9))] for i in range(60)}
     groups["hot"] = [round(math.exp(rnd.gauss(1, 0.5)), 3) for _ in range(5000)]
     groups["same"] = [2.5] * 1000 + [1.0] * 999
-    got = run(spark, groups, stage=materialise)
+    got = run(spark, groups)
     assert got == expected(groups)
+    assert run(spark, groups, max_ordered=3) == got
     assert got["hot"] == statistics.median(groups["hot"])
 
 
+def test_hot_group_within_one_bucket(spark):
+    """Many distinct values closer together than a bucket is wide, and two lone ones far off."""
+    rnd = random.Random(5)
+    near = [3.0 * (1 + 1e-5 * rnd.random()) for _ in range(3000)]
+    nested = [1.0 + 1e-9 * i for i in range(1001)] + [1.0 + 1e-14 * i for i in range(1200)]
+    groups = {"near": near + [1e-9, 1e9], "nested": nested, "negative": [-x for x in near], "few": [2.0, 1.0]}
+    for limit in (1, 50, 10**6):
+        assert run(spark, groups, max_ordered=limit) == expected(groups)
+
+
 def test_written_back_to_rows(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", None)], "c string, v double")
     out = add_grouped_median(df, ["c"], "v", "m").collect()
