@@ -202,7 +202,7 @@ def convert_hs_impute(fx, spark, sf_dir):
 def unit_ratios(fx, spark, sf_dir):
     base = flows.filter_kg(training.mirrored_reports(fx.flows))
     return rounded(
-        ratios.compute_ratios(base).select(
+        ratios.compute_ratios(materialise(base, "in_kilograms")).select(
             *KEYS, "unit_value_exp", "unit_value_imp", "uv_exp", "cif_fob_unit_ratio",
             "cif_fob_ratio", "cif_fob_weights",
         )
@@ -211,7 +211,8 @@ def unit_ratios(fx, spark, sf_dir):
 
 @register("q10_unit_value_median", select_sql("medians_i", "year, commodity_code", ["uv_exp"]))
 def unit_value_median(fx, spark, sf_dir):
-    rows = in_kg(fx).withColumn("uv", S.ieee_div("trade_value_usd_exp", "qty_exp"))
+    mirror = written(fx, "mirror", lambda: in_kg(fx))
+    rows = mirror.withColumn("uv", S.ieee_div("trade_value_usd_exp", "qty_exp"))
     return rounded(median.grouped_median(rows, ratios.COMMODITY_YEAR, "uv", "uv_exp"))
 
 

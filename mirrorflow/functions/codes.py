@@ -129,4 +129,4 @@ def snake_case_column(header: Column | str) -> Column:
     """``snake_case`` as a column expression, for header cells that are data."""
     text = F.regexp_replace(F.trim(as_col(header)), r"([a-z0-9])([A-Z])", "$1_$2")
     text = F.lower(F.regexp_replace(F.regexp_replace(text, r"[^0-9A-Za-z]+", "_"), r"^_+|_+$", ""))
-    return F.when(text == "", "x").when(text.rlike("^[0-9]"), F.concat(F.lit("x"), text)).otherwise(text)
+    return F.regexp_replace(text, r"^(?=[0-9]|\z)", "x")

@@ -91,7 +91,8 @@ def extract_table(
     body = F.slice(F.col("_rows"), F.lit(2), F.greatest(F.size("_rows") - 1, F.lit(0)))
     out = (
         pages.select(*keys, rows.alias("_rows"))
-        .select(*keys, titles.alias("_titles"), F.posexplode(body).alias("position", "_row"))
+        .select(*keys, "_rows", titles.alias("_titles"))  # once per page, not per row
+        .select(*keys, "_titles", F.posexplode(body).alias("position", "_row"))
         .select(*keys, "position", "_titles", cells(F.col("_row")).alias("_cells"))
     )
 
