@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mirrorflow.llm import minhash
+from mirrorflow.llm import minhash, quality
+from mirrorflow.llm import oracles as O
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,3 +32,8 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return minhash.near_duplicates(docs, percent=85)
+
+
+@register("op4_quality_divergence", O.QUALITY)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_rules(read(spark, sf_dir, "documents")).drop("class_distance", "word_distance")
