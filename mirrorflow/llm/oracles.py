@@ -69,3 +69,59 @@ SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(chars - cs[2] AS BIGINT) AS wo
     AND NOT coalesce(by_class.dist > 0.28 OR by_word.dist > 0.55, false) AS kept
 FROM f LEFT JOIN again USING (r) LEFT JOIN lines USING (r) LEFT JOIN by_word USING (r) LEFT JOIN by_class USING (r)
 """
+
+_KINDS = [
+    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "true"),
+    ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+     "list_max(list_transform(string_split(m, '.'), lambda x: CAST(x AS DOUBLE))) <= 255"),
+    ("card", r"[0-9]([\x20-]?[0-9])+", "len(ds) BETWEEN 14 AND 19 AND luhn % 10 = 0"),
+    ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "len(ds) BETWEEN 10 AND 15"),
+    ("iban", r"(AT|BE|BG|CH|CY|CZ|DE|DK|EE|ES|FI|FR|GB|GR|HR|HU|IE|IS|IT|LI|LT|LU|LV|MC|MT|NL|NO|PL|PT|RO|SE|SI|SK)[0-9]{2}(\x20?[A-Z0-9]){11,30}",
+     r"""length(replace(m, ' ', '')) = CASE left(m, 2) WHEN 'NO' THEN 15 WHEN 'BE' THEN 16
+       WHEN 'DK' THEN 18 WHEN 'FI' THEN 18 WHEN 'NL' THEN 18 WHEN 'SI' THEN 19
+       WHEN 'AT' THEN 20 WHEN 'EE' THEN 20 WHEN 'LT' THEN 20 WHEN 'LU' THEN 20
+       WHEN 'CH' THEN 21 WHEN 'HR' THEN 21 WHEN 'LI' THEN 21 WHEN 'LV' THEN 21
+       WHEN 'BG' THEN 22 WHEN 'DE' THEN 22 WHEN 'GB' THEN 22 WHEN 'IE' THEN 22
+       WHEN 'CZ' THEN 24 WHEN 'ES' THEN 24 WHEN 'RO' THEN 24 WHEN 'SE' THEN 24 WHEN 'SK' THEN 24
+       WHEN 'PT' THEN 25 WHEN 'IS' THEN 26 WHEN 'FR' THEN 27 WHEN 'GR' THEN 27 WHEN 'IT' THEN 27 WHEN 'MC' THEN 27
+       WHEN 'CY' THEN 28 WHEN 'HU' THEN 28 WHEN 'PL' THEN 28 WHEN 'MT' THEN 31 END
+     AND list_reduce(list_transform(list_prepend('0', string_split(
+         substr(replace(m, ' ', ''), 5) || left(replace(m, ' ', ''), 4), '')),
+       lambda c: CASE WHEN ascii(c) >= 65 THEN ascii(c) - 55 ELSE ascii(c) - 48 END),
+       lambda a, x: (a * CASE WHEN x >= 10 THEN 100 ELSE 10 END + x) % 97) = 1
+     AND NOT regexp_matches(before, '[0-9A-Za-z-]$') AND NOT regexp_matches(after, '^[0-9A-Za-z-]')"""),
+    ("ssn", r"[0-9]{3}-[0-9]{2}-[0-9]{4}",
+     r"""NOT regexp_matches(before, '[0-9A-Za-z-]$') AND NOT regexp_matches(after, '^[0-9A-Za-z-]')
+     AND regexp_matches(lower(right(before, 40) || ' ' || left(after, 20)), '(^|[^a-z])(ssn|social security|tax id)')"""),
+]
+
+_MATCHES = "\nUNION ALL\n".join(
+    rf"""SELECT r, '{name}' AS kind, {rank} AS rank, start, start + length(m) AS stop FROM (
+  SELECT *, sum(length(m) + length(before)) OVER (PARTITION BY r ORDER BY i) - length(m) AS start FROM (
+    SELECT r, i, ms[i] AS m, gs[i] AS before, gs[i + 1] AS after,
+      list_transform(regexp_extract_all(ms[i], '[0-9]'), lambda x: CAST(x AS INT)) AS ds,
+      list_sum(list_transform(list_reverse(ds), lambda x, j:
+        CASE WHEN j % 2 = 1 THEN x WHEN x > 4 THEN 2 * x - 9 ELSE 2 * x END)) AS luhn
+    FROM (
+      SELECT r, regexp_extract_all(t, '{pattern}') AS ms, string_split_regex(t, '{pattern}') AS gs,
+        unnest(range(1, len(ms) + 1)) AS i FROM d
+    )
+  )
+) WHERE {valid}"""
+    for rank, (name, pattern, valid) in enumerate(_KINDS)
+)
+
+PERSONAL_DATA = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+s AS (SELECT *, kind || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT) AS span FROM ({_MATCHES})),
+a AS (
+  SELECT r, count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip,
+    count(*) FILTER (kind = 'card') AS n_card, count(*) FILTER (kind = 'phone') AS n_phone,
+    string_agg(span, ',' ORDER BY start, rank) FILTER (rank < 4) AS base,
+    string_agg(span, ',' ORDER BY start, rank) AS spans
+  FROM s GROUP BY r
+)
+SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card,
+  coalesce(n_phone, 0) AS n_phone, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN a USING (r)
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mirrorflow.llm import minhash, quality
+from mirrorflow.llm import minhash, pii, quality
 from mirrorflow.llm import oracles as O
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,3 +37,22 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op4_quality_divergence", O.QUALITY)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(read(spark, sf_dir, "documents")).drop("class_distance", "word_distance")
+
+
+@register("op8_personal_data", O.PERSONAL_DATA)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(read(spark, sf_dir, "documents"))
+
+    def number(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    base = [k.name for k in pii.KINDS if k.base]
+    return found.select(
+        "doc_id",
+        *[number(k) for k in base],
+        F.sha2(listed(F.filter("spans", lambda s: s["kind"].isin(base))), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
