@@ -125,3 +125,47 @@ SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coale
   coalesce(n_phone, 0) AS n_phone, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM d LEFT JOIN a USING (r)
 """
+
+CHAT = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, role AS r0, text AS t0 FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok', 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok', 'assistant', '\### Assistant: </turn> ok'
+), e AS (
+  SELECT *, row_number() OVER o AS idx,
+    (length(role || text) - length(replace(role || text, '\', ''))
+      + (length(role) - length(replace(role, ':', '')))
+      + (length(role) - length(replace(role, '</turn>', ''))) // 7 + (length(text) - length(replace(text, '</turn>', ''))) // 7
+      + coalesce(list_sum(list_transform(regexp_extract_all(role, '###+'), lambda x: length(x) - 2)), 0)
+      + coalesce(list_sum(list_transform(regexp_extract_all(text, '###+'), lambda x: length(x) - 2)), 0)) AS added
+  FROM t WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, r0 NULLS FIRST, t0 NULLS FIRST)
+), p AS (
+  SELECT *, length(role) + length(text) + added + 14 AS chars, (strlen(role) + strlen(text) + added + 14 + 3) // 4 AS tokens,
+    idx = 1 AND role = 'system' AS sys FROM e
+), u AS (
+  SELECT *, sum(CASE WHEN sys THEN 0 ELSE tokens END) OVER (PARTITION BY conv_id ORDER BY idx) AS used,
+    coalesce(max(CASE WHEN sys THEN tokens END) OVER (PARTITION BY conv_id), 0) AS fixed,
+    coalesce(max(CASE WHEN sys THEN chars END) OVER (PARTITION BY conv_id), 0) AS lead_chars
+  FROM p
+), c AS (
+  SELECT *, greatest(1, floor((768 - fixed) / 2.0)) AS step, floor((used - 1.0) / step) AS cell, tokens > step AS big FROM u
+), f AS (
+  SELECT *, CASE WHEN NOT sys AND coalesce(idx = 1 OR lag(sys) OVER o OR cell <> lag(cell) OVER o OR big OR lag(big) OVER o, false)
+    THEN 1 ELSE 0 END AS opens FROM c WINDOW o AS (PARTITION BY conv_id ORDER BY idx)
+), w AS (
+  SELECT *, greatest(0, sum(opens) OVER (PARTITION BY conv_id ORDER BY idx) - 1) AS win FROM f
+), h AS (
+  SELECT *,
+    CASE WHEN opens = 1 AND win > 0 THEN lead_chars ELSE 0 END
+    + CASE WHEN NOT sys AND lead(opens, 1) OVER o = 1 AND tokens <= 256 THEN chars ELSE 0 END
+    + CASE WHEN NOT sys AND lead(opens, 2) OVER o = 1 AND lead(used, 1) OVER o - used + tokens <= 256 THEN chars ELSE 0 END
+    AS repeated
+  FROM w WINDOW o AS (PARTITION BY conv_id ORDER BY idx)
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY idx)) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY idx) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(chars + repeated) AS BIGINT) AS formatted_chars
+FROM h GROUP BY conv_id
+"""

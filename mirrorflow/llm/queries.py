@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mirrorflow.llm import minhash, pii, quality
+from mirrorflow.llm import chat, minhash, pii, quality
 from mirrorflow.llm import oracles as O
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +56,24 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(listed(F.filter("spans", lambda s: s["kind"].isin(base))), 256).alias("base_sha256"),
         listed(F.col("spans")).alias("spans"),
     )
+
+
+@register("op2_chat_windows", O.CHAT)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = r"\### Assistant: </turn> ok"
+    extra = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(said).alias("text"),
+    )
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    found = chat.read_back(chat.chat_windows(turns.unionByName(extra)))
+    return found.select(
+        "conv_id",
+        "n_turns",
+        F.sha2("turns", 256).alias("turns_sha256"),
+        F.char_length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
