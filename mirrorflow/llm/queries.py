@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mirrorflow.llm import chat, minhash, pii, quality
+from mirrorflow.llm import bpe, chat, minhash, pii, quality
 from mirrorflow.llm import oracles as O
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +78,18 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("loss", 256).alias("loss_sha256"),
         "formatted_chars",
     )
+
+
+@register("op5_byte_bpe")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bpe.bounded_batches(spark)
+    rank_file, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = docs.select("doc_id", bpe.encode(F.col("text"), rank_file, pattern).alias("ids"))
+    raw = coded.select("doc_id", "ids", bpe.decode(F.col("ids"), rank_file, pattern).alias("raw"))
+    return raw.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("raw", 256).alias("decoded_sha256"),
+    )
