@@ -169,3 +169,51 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(sum(chars + repeated) AS BIGINT) AS formatted_chars
 FROM h GROUP BY conv_id
 """
+
+MIX = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(source, '') AS source, md5('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS key,
+    CAST(len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS BIGINT) AS n_tokens
+  FROM documents
+), t AS MATERIALIZED (
+  SELECT source, CAST(sum(n_tokens) AS BIGINT) AS tokens, CAST(sum(n_tokens) AS DOUBLE) / sum(sum(n_tokens)) OVER () AS s
+  FROM d GROUP BY source
+), f AS (SELECT * FROM t WHERE tokens > 0),
+tries AS (SELECT unnest(range(31)) AS level),
+bisect AS (
+  SELECT 0 AS level, 0.0::DOUBLE AS lo, 1.0::DOUBLE AS hi
+  UNION ALL
+  SELECT level + 1, CASE WHEN ok THEN lo ELSE mid END, CASE WHEN ok THEN mid ELSE hi END
+  FROM (
+    SELECT level, lo, hi, (lo + hi) / 2 AS mid,
+      (SELECT ln(sum(pow(s, (lo + hi) / 2))) - (lo + hi) / 2 * sum(pow(s, (lo + hi) / 2) * ln(s)) / sum(pow(s, (lo + hi) / 2)) <= 0.95 * ln(count(*))
+          AND max(pow(s, (lo + hi) / 2 - 1)) / min(pow(s, (lo + hi) / 2 - 1)) <= 2 FROM f) AS ok
+    FROM bisect WHERE level < 30
+  )
+), a AS (
+  SELECT CASE WHEN (SELECT count(*) FROM f) < 2 THEN 1.0
+    WHEN (SELECT ln(count(*)) <= 0.95 * ln(count(*)) AND max(1 / s) / min(1 / s) <= 2 FROM f) THEN 0.0
+    ELSE hi END AS alpha
+  FROM bisect WHERE level = 30
+), w AS (
+  SELECT source, tokens, CASE WHEN tokens > 0 THEN pow(s, alpha) / (SELECT sum(pow(s, alpha)) FROM f) ELSE 0 END AS weight FROM t, a
+), q AS (
+  SELECT source, tokens, CASE WHEN tokens > 0 THEN greatest(tokens, CAST(floor(weight * (
+    SELECT max(tokens / weight) FROM w WHERE tokens > 0) + 0.5) AS BIGINT)) ELSE 0 END AS quota FROM w
+), b AS (SELECT greatest(1, ceil(sum(quota) / 262144.0)) AS blocks FROM q),
+p AS (
+  SELECT d.*, tokens, quota, sum(n_tokens) OVER (
+    PARTITION BY source ORDER BY key, doc_id, n_tokens ROWS UNBOUNDED PRECEDING) - n_tokens AS start
+  FROM d JOIN q USING (source)
+), c AS (
+  SELECT *, unnest(range(CASE WHEN tokens > 0
+    THEN quota // tokens + CASE WHEN start < quota % tokens THEN 1 ELSE 0 END ELSE 1 END)) AS copy FROM p
+), r AS (
+  SELECT doc_id, source, copy, n_tokens, key,
+    CAST(least(floor(CAST(copy * tokens + start AS DOUBLE) / greatest(quota, 1) * blocks), blocks - 1) AS BIGINT) AS block
+  FROM c, b
+)
+SELECT doc_id, source, copy, n_tokens, block,
+  row_number() OVER (PARTITION BY block ORDER BY md5(key || ':' || copy), doc_id, copy, n_tokens) - 1 AS slot
+FROM r
+"""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mirrorflow.llm import bpe, chat, minhash, pii, quality
+from mirrorflow.llm import bpe, chat, minhash, mixing, pii, quality
 from mirrorflow.llm import oracles as O
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +93,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("raw", 256).alias("decoded_sha256"),
     )
+
+
+@register("op10_temperature_mix", O.MIX)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed_blocks(read(spark, sf_dir, "documents"))
