@@ -217,3 +217,63 @@ SELECT doc_id, source, copy, n_tokens, block,
   row_number() OVER (PARTITION BY block ORDER BY md5(key || ':' || copy), doc_id, copy, n_tokens) - 1 AS slot
 FROM r
 """
+
+
+def _curve(bits: int, n: int) -> str:
+    """The steps of the curve's index as one subquery after the other, on columns x0, x1, ..."""
+    sql, xs = "coded", [f"x{d}" for d in range(n)]
+
+    def step(changes: dict[str, str], sql: str) -> str:
+        return f"(SELECT * REPLACE ({', '.join(f'{v} AS {k}' for k, v in changes.items())}) FROM {sql})"
+
+    for level in range(bits - 1, 0, -1):
+        bit, low = 1 << level, (1 << level) - 1
+        for x in xs:
+            swap = f"CASE WHEN {x} & {bit} <> 0 THEN 0 ELSE xor(x0, {x}) & {low} END"
+            first = f"xor(x0, CASE WHEN {x} & {bit} <> 0 THEN {low} ELSE {swap} END)"
+            sql = step({"x0": first} if x == "x0" else {"x0": first, x: f"xor({x}, {swap})"}, sql)
+    for a, b in zip(xs, xs[1:]):
+        sql = step({b: f"xor({b}, {a})"}, sql)
+    flip = "0"
+    for level in range(bits - 1, 0, -1):
+        flip = f"xor({flip}, CASE WHEN ({xs[-1]} >> {level}) & 1 = 1 THEN {(1 << level) - 1} ELSE 0 END)"
+    sql = step({x: f"xor({x}, flip)" for x in xs}, f"(SELECT *, {flip} AS flip FROM {sql})")
+    parts = [
+        f"((({x} >> {level}) & 1) << {level * n + n - 1 - d})" for level in range(bits) for d, x in enumerate(xs)
+    ]
+    return f"(SELECT *, {' + '.join(parts)} AS curve FROM {sql})"
+
+
+def _crc_table() -> list[int]:
+    table = []
+    for value in range(256):
+        for _ in range(8):
+            value = (value >> 1) ^ (0xEDB88320 if value & 1 else 0)
+        table.append(value)
+    return table
+
+
+_CRC = f"""xor(4294967295, list_reduce(
+  list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode(t)), '..'), lambda h: CAST('0x' || h AS BIGINT))),
+  lambda a, b: xor(a >> 8, list_extract({_crc_table()}::BIGINT[], (xor(a, b) & 255) + 1))))"""
+
+SHARDS = f"""
+WITH d AS (
+  SELECT doc_id, strlen(coalesce(text, '')) + 16 AS size, coalesce(text, '') AS t, lang, source FROM documents
+), l AS (
+  SELECT *, 4 * length(bin(size)) + ((size >> (length(bin(size)) - 3)) & 3) AS length_class FROM d
+), k AS (
+  SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS k0, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS k1,
+    dense_rank() OVER (ORDER BY length_class) - 1 AS k2 FROM l
+), coded AS (
+  SELECT *, CAST(floor(k0 * 1024.0 / (max(k0) OVER () + 1)) AS BIGINT) AS x0,
+    CAST(floor(k1 * 1024.0 / (max(k1) OVER () + 1)) AS BIGINT) AS x1,
+    CAST(floor(k2 * 1024.0 / (max(k2) OVER () + 1)) AS BIGINT) AS x2 FROM k
+), placed AS (
+  SELECT *, row_number() OVER (ORDER BY curve, doc_id) - 1 AS place, count(*) OVER () AS n FROM {_curve(10, 3)}
+)
+SELECT doc_id, CAST(size AS BIGINT) AS size, 'rows' AS law, CAST(place * 40 // n AS INT) AS shard,
+  place - (place * 40 // n * n + 39) // 40 AS slot, CAST(NULL AS INT) AS grown_shard, CAST(curve AS BIGINT) AS curve,
+  {_CRC} AS text_crc32
+FROM placed
+"""

@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mirrorflow.llm import bpe, chat, minhash, mixing, pii, quality
+from mirrorflow.llm import bpe, chat, minhash, mixing, pii, quality, shards
 from mirrorflow.llm import oracles as O
+from mirrorflow.sources.scratch import materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -98,3 +99,29 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_temperature_mix", O.MIX)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_blocks(read(spark, sf_dir, "documents"))
+
+
+@register("op9_hilbert_shards", O.SHARDS)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    rows = read(spark, sf_dir, "documents").select(
+        "doc_id",
+        (F.octet_length(text) + 16).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+        "lang",
+        "source",
+    )
+    # quarters of a power of two
+    bits = "4 * length(bin(size)) + (shiftright(size, length(bin(size)) - 3) & 3)"
+    rows = materialise(rows.withColumn("length_class", F.expr(bits)), "shard_rows")
+    placed = shards.hilbert_shards(rows, ["source", "lang", "length_class"], "doc_id", 40)
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        F.col("shard").cast("int").alias("shard"),
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "curve",
+    )
