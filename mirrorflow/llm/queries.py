@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from mirrorflow.llm import bpe, chat, minhash, mixing, pii, quality, shards
 from mirrorflow.llm import oracles as O
+from mirrorflow.llm.batches import bounded_batches
 from mirrorflow.sources.scratch import materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,7 +84,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op5_byte_bpe")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bpe.bounded_batches(spark)
+    bounded_batches(spark)
     rank_file, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     coded = docs.select("doc_id", bpe.encode(F.col("text"), rank_file, pattern).alias("ids"))
