@@ -277,3 +277,12 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, 'rows' AS law, CAST(place * 40 // n
   {_CRC} AS text_crc32
 FROM placed
 """
+
+WARC = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, strlen(coalesce(html, '')) AS n FROM pages),
+g AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS w FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(h) AS payload_digest,
+  CASE WHEN n >= 1000 AND page_id < w THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 1000 AND page_id < w THEN w END AS refers_to
+FROM g
+"""

@@ -8,10 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mirrorflow.llm import bpe, chat, minhash, mixing, pii, quality, shards
+from mirrorflow.llm import bpe, chat, minhash, mixing, pii, quality, shards, warc
 from mirrorflow.llm import oracles as O
 from mirrorflow.llm.batches import bounded_batches
-from mirrorflow.sources.scratch import materialise
+from mirrorflow.sources.scratch import materialise, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -126,3 +126,11 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"),
         "curve",
     )
+
+
+@register("op6_warc_dictionary", O.WARC)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    path = scratch_path(spark, "warc")
+    warc.archive_pages(read(spark, sf_dir, "pages"), path)
+    return warc.read_archives(spark, path).drop("payload")
