@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mirrorflow.llm import bpe, chat, minhash, mixing, pii, quality, shards, warc
+from mirrorflow.llm import bpe, chat, minhash, mixing, pii, quality, shards, toxicity, warc
 from mirrorflow.llm import oracles as O
 from mirrorflow.llm.batches import bounded_batches
 from mirrorflow.sources.scratch import materialise, scratch_path
@@ -134,3 +134,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.archive_pages(read(spark, sf_dir, "pages"), path)
     return warc.read_archives(spark, path).drop("payload")
+
+
+@register("op3_ordinal_toxicity")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit_severity(docs, read(spark, sf_dir, "labels"))
+    return toxicity.severity(docs, model)
