@@ -6,12 +6,28 @@ components reach the driver. Each round is written to the shared folder.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mirrorflow.sources.scratch import materialise
 
 
+def spanning_links(n: int, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links from each of ``n`` places to the least place of its component under the pairs x, y."""
+    root = np.arange(n)
+    while True:
+        new = root.copy()
+        np.minimum.at(new, x, root[y])
+        np.minimum.at(new, y, root[x])
+        new = np.minimum(new, new[new])
+        if (new == root).all():
+            break
+        root = new
+    far = np.flatnonzero(root != np.arange(n))
+    return far, root[far]
+
+
 def _links(df: DataFrame) -> DataFrame:
     return (
         df.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))

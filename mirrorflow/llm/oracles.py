@@ -286,3 +286,24 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(h) AS payload_digest,
   CASE WHEN n >= 1000 AND page_id < w THEN w END AS refers_to
 FROM g
 """
+
+VECTORS = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), l AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+    ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+    AND list_cosine_similarity(a.e, b.e) >= 0.98
+), r AS (
+  SELECT vec_id AS id, vec_id AS c FROM v
+  UNION
+  SELECT l.b, r.c FROM r JOIN l ON l.a = r.id WHERE r.c < l.b
+), m AS (
+  SELECT id, min(c) AS c FROM r GROUP BY id
+), n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(c, vec_id) AS component_id, coalesce(c, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN n ON a = vec_id LEFT JOIN m ON id = vec_id
+"""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mirrorflow.llm import bpe, chat, minhash, mixing, pii, quality, shards, toxicity, warc
+from mirrorflow.llm import bpe, chat, covertree, minhash, mixing, pii, quality, shards, toxicity, warc
 from mirrorflow.llm import oracles as O
 from mirrorflow.llm.batches import bounded_batches
 from mirrorflow.sources.scratch import materialise, scratch_path
@@ -142,3 +142,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit_severity(docs, read(spark, sf_dir, "labels"))
     return toxicity.severity(docs, model)
+
+
+@register("op1_cover_tree_dedup", O.VECTORS)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.vector_duplicates(read(spark, sf_dir, "embeddings"))
