@@ -106,7 +106,8 @@ def dual_pairs(left: CoverTree, right: CoverTree, cosine: float) -> tuple[np.nda
         i, j = i[~leaves], j[~leaves]
         i, j = _product([kids_a[a] or [a] for a in i], [kids_b[b] or [b] for b in j])
         if own:
-            i, j = i[i <= j], j[i <= j]
+            once = np.unique(np.minimum(i, j) * len(ca) + np.maximum(i, j))
+            i, j = once // len(ca), once % len(ca)
     x, y = np.concatenate(found, axis=1)
     if own:
         x, y = np.unique(np.stack([x, y])[:, x != y], axis=1)
