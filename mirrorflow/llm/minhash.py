@@ -21,13 +21,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mirrorflow.llm.batches import bounded_batches
 from mirrorflow.llm.components import connected_components
 from mirrorflow.llm.shingles import shingle_set, signature, similar
 from mirrorflow.sources.scratch import materialise
 
 COORDINATES = 32
 MISS = 1e-8
-BLOCK_ROWS = 192
+BLOCK_ROWS = 512
 BLOCK_BYTES = 4 << 20
 _COLUMNS = 8192
 
@@ -175,20 +176,27 @@ def _compare_blocks(members: DataFrame, threshold: int, percent: int) -> DataFra
     return members.select("pair", "side", "rep", "sig", "shingles").mapInPandas(run, "a long, b long")
 
 
-def _sets(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame, size: int) -> DataFrame:
-    """``rep``, ``set_key`` and full shingle set of the rows whose id is wanted."""
+def _members(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame, size: int) -> DataFrame:
+    """The rows of ``wanted`` (class, home, digest and signature) with their full shingle sets.
+
+    The texts are shuffled once, by id; equal rows of an id are dropped where that put them.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import hashlib
 
         for batch in batches:
-            sets = [shingle_set(t, size).tobytes() for t in batch["text"]]
-            keys = [hashlib.md5(s).digest() for s in sets]
-            yield pd.DataFrame({"rep": batch["rep"], "set_key": keys, "shingles": sets})
+            batch["shingles"] = [shingle_set(t, size).tobytes() for t in batch["text"]]
+            same = [hashlib.md5(s).digest() == k for s, k in zip(batch["shingles"], batch["set_key"])]
+            yield batch.loc[same, ["rep", "home", "n_shingles", "sig", "shingles"]]
 
     rows = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text"))
-    picked = rows.join(wanted.select("rep").distinct().hint("shuffle_hash"), "rep", "left_semi")
-    return picked.mapInPandas(run, "rep long, set_key binary, shingles binary")
+    picked = rows.join(wanted.hint("shuffle_hash"), "rep")
+    picked = picked.withColumn("digest", F.md5("text")).dropDuplicates(["rep", "digest", "set_key"])
+    picked = picked.select("rep", "home", "n_shingles", "sig", "set_key", "text")
+    return picked.mapInPandas(
+        run, "rep long, home long, n_shingles long, sig array<int>, shingles binary"
+    )
 
 
 def _home_links(members: DataFrame, percent: int) -> DataFrame:
@@ -223,12 +231,8 @@ def similar_links(
         "home", F.when(F.col("root"), F.col("rep")).otherwise(F.col("home"))
     ).select("rep", "home")
 
-    keys = classes.select("rep", "set_key", "sig", "n_shingles")
-    sets = _sets(docs, id_col, text_col, homes, size)
-    members = materialise(
-        sets.join(keys, ["rep", "set_key"]).dropDuplicates(["rep", "set_key"]).join(homes, "rep"),
-        "members",
-    )
+    wanted = classes.select("rep", "set_key", "sig", "n_shingles").join(homes, "rep")
+    members = materialise(_members(docs, id_col, text_col, wanted, size), "members")
     near = materialise(_home_links(members, percent), "home_links")
 
     placed = members.select("rep", "home", "n_shingles").join(
@@ -259,9 +263,9 @@ def similar_links(
     sides = pairs.select("pair", F.lit(0).alias("side"), F.col("x").alias("block")).unionByName(
         pairs.filter("x <> y").select("pair", F.lit(1).alias("side"), F.col("y").alias("block"))
     )
+    calls = placed.join(sides, "block").select("rep", "pair", "side")
     rows = (
-        members.join(placed, "rep")
-        .join(sides, "block")
+        members.join(calls, "rep")
         .select("pair", "side", "rep", "sig", "shingles")
         .repartition("pair")
         .sortWithinPartitions("pair", "side", "rep")
@@ -287,6 +291,7 @@ def near_duplicates(
     kept. Rows that share an id share its links. Other columns of ``docs`` are not looked at. An
     empty table gives an empty table. A link is missed with probability 1e-8 at most.
     """
+    bounded_batches(docs.sparkSession)
     known = materialise(sketches(docs, id_col, text_col, size, coordinates), "sketches")
     classes = materialise(
         known.filter("id is not null and n_shingles > 0")
