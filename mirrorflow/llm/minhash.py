@@ -3,11 +3,11 @@
 Texts with equal shingle sets form one class. A class is posted under its (coordinate, value)
 pairs. Pairs that no other class has are dropped, and with them every class that cannot reach the
 match threshold; of the rest only the rarest are posted, enough that two classes above the
-threshold share one (prefix filter). Posting lists are not expanded into pairs of documents.
-Their members are gathered into small blocks around the least id of their lists, first compared
-with that id, and then block by block where a list joins two blocks: collisions of all coordinates
+threshold share four (prefix filter). Posting lists are not expanded into pairs of documents.
+Their members are gathered into blocks around the least class of their lists, first compared with
+it, and then block by block where two blocks share four lists: collisions of all coordinates
 are counted for a block at once, and what reaches the threshold is confirmed on full shingle sets.
-Blocks whose members all hang on the same id are skipped, so a large group of copies that are
+Blocks whose members all hang on the same class are skipped, so a large group of copies that are
 alike costs a comparison per member.
 """
 
@@ -28,6 +28,7 @@ from mirrorflow.sources.scratch import materialise
 
 COORDINATES = 32
 MISS = 1e-8
+COLLISIONS = 4
 BLOCK_ROWS = 512
 BLOCK_BYTES = 4 << 20
 _COLUMNS = 8192
@@ -65,8 +66,15 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, size: int, k: int) ->
     return rows.mapInPandas(run, "id long, n_shingles long, set_key binary, sig array<int>")
 
 
+def _collisions(threshold: int) -> int:
+    return min(COLLISIONS, threshold)
+
+
 def postings(classes: DataFrame, k: int, threshold: int) -> DataFrame:
-    """Rows ``token``, ``rep``: each class under its rarest shared coordinate values."""
+    """Rows ``token``, ``rep``: each class under its rarest shared coordinate values.
+
+    Two classes with ``threshold`` values in common share ``COLLISIONS`` of those posted, or all.
+    """
     value = F.col("value").cast("long").bitwiseAND(F.lit((1 << 32) - 1))
     tokens = classes.select("rep", F.posexplode("sig").alias("pos", "value")).select(
         "rep", (F.shiftleft(F.col("pos").cast("long"), 32) + value).alias("token")
@@ -78,7 +86,7 @@ def postings(classes: DataFrame, k: int, threshold: int) -> DataFrame:
         .agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("ordered"))
         .filter(F.size("ordered") >= threshold)
     )
-    prefix = F.slice("ordered", F.lit(1), F.size("ordered") - F.lit(threshold - 1))
+    prefix = F.slice("ordered", F.lit(1), F.size("ordered") - F.lit(threshold - _collisions(threshold)))
     return per_class.select("rep", F.explode(prefix).alias("p")).select("rep", "p.token")
 
 
@@ -188,14 +196,14 @@ def _members(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame, siz
         for batch in batches:
             batch["shingles"] = [shingle_set(t, size).tobytes() for t in batch["text"]]
             same = [hashlib.md5(s).digest() == k for s, k in zip(batch["shingles"], batch["set_key"])]
-            yield batch.loc[same, ["rep", "home", "n_shingles", "sig", "shingles"]]
+            yield batch.loc[same, ["rep", "home", "root", "n_shingles", "sig", "shingles"]]
 
     rows = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text"))
     picked = rows.join(wanted.hint("shuffle_hash"), "rep")
     picked = picked.withColumn("digest", F.md5("text")).dropDuplicates(["rep", "digest", "set_key"])
-    picked = picked.select("rep", "home", "n_shingles", "sig", "set_key", "text")
+    picked = picked.select("rep", "home", "root", "n_shingles", "sig", "set_key", "text")
     return picked.mapInPandas(
-        run, "rep long, home long, n_shingles long, sig array<int>, shingles binary"
+        run, "rep long, home long, root boolean, n_shingles long, sig array<int>, shingles binary"
     )
 
 
@@ -211,7 +219,9 @@ def _home_links(members: DataFrame, percent: int) -> DataFrame:
             yield pd.DataFrame({"rep": batch["rep"], "home": batch["home"], "linked": linked})
 
     far = members.filter("rep <> home").select("rep", "home", "shingles")
-    homes = members.filter("rep = home").select("home", F.col("shingles").alias("home_shingles"))
+    homes = members.filter("root").select(
+        F.col("rep").alias("home"), F.col("shingles").alias("home_shingles")
+    )
     return far.join(homes, "home").mapInPandas(run, "rep long, home long, linked boolean")
 
 
@@ -225,12 +235,8 @@ def similar_links(
     lists = lists.filter("first < last").select("token", "first")
     joint = materialise(posted.join(lists, "token"), "joint")
     homes = materialise(joint.groupBy("rep").agg(F.min("first").alias("home")), "homes")
-    # the first class of a list has a home of its own elsewhere: here it stands for itself
     roots = homes.select(F.col("home").alias("rep")).distinct().withColumn("root", F.lit(True))
-    homes = homes.join(roots, "rep", "left").withColumn(
-        "home", F.when(F.col("root"), F.col("rep")).otherwise(F.col("home"))
-    ).select("rep", "home")
-
+    homes = homes.join(roots, "rep", "left").withColumn("root", F.coalesce("root", F.lit(False)))
     wanted = classes.select("rep", "set_key", "sig", "n_shingles").join(homes, "rep")
     members = materialise(_members(docs, id_col, text_col, wanted, size), "members")
     near = materialise(_home_links(members, percent), "home_links")
@@ -254,11 +260,15 @@ def similar_links(
     pairs = (
         at.select("token", F.col("block").alias("x"))
         .join(at.select("token", F.col("block").alias("y")), "token")
-        .filter("x <= y and not (x.linked and y.linked and x.home = y.home)")
+        .filter("x < y and not (x.linked and y.linked and x.home = y.home)")
+        .groupBy("x", "y")
+        .agg(F.count(F.lit(1)).alias("shared"))
+        .filter(F.col("shared") >= _collisions(threshold))
         .select("x", "y")
-        .distinct()
-        .withColumn("pair", F.to_json(F.struct("x", "y")))
     )
+    several = placed.filter("not block.linked").groupBy("block").agg(F.count(F.lit(1)).alias("n"))
+    several = several.filter("n > 1").select(F.col("block").alias("x"), F.col("block").alias("y"))
+    pairs = pairs.unionByName(several).withColumn("pair", F.to_json(F.struct("x", "y")))
     pairs = materialise(pairs, "block_pairs")
     sides = pairs.select("pair", F.lit(0).alias("side"), F.col("x").alias("block")).unionByName(
         pairs.filter("x <> y").select("pair", F.lit(1).alias("side"), F.col("y").alias("block"))
