@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -40,6 +41,7 @@ def main() -> None:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", os.environ.get("SCRATCH_DIR") or tempfile.mkdtemp(prefix="mirrorflow-"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

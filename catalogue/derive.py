@@ -19,8 +19,6 @@ from mirrorflow.sources import schemas, tables
 from mirrorflow.sources.scratch import scratch_path
 
 CUTOVER_YEAR = 1998
-LAST_NATION = 24
-YEARS = (1995, 2001)
 RTA_FROM = 1997
 
 # Reporters whose names need the clean-up rules, besides the nations.
@@ -212,15 +210,22 @@ def write_flows(spark: SparkSession, sf_dir: str, root: str) -> None:
 
 def nation_pairs(nation: DataFrame) -> DataFrame:
     """Ordered pairs of nations with both regions."""
+    last = nation.agg(F.max("n_nationkey")).first()[0] or 0
     a = nation.select(
         F.col("n_nationkey").alias("a"),
         F.col("n_regionkey").alias("ra"),
-        F.explode(F.sequence(F.lit(0), F.lit(LAST_NATION))).alias("b"),
+        F.explode(F.sequence(F.lit(0), F.lit(last))).alias("b"),
     )
     b = nation.select(F.col("n_nationkey").alias("b"), F.col("n_regionkey").alias("rb"))
     return a.join(b, "b")
 
 
+def ship_years(items: DataFrame) -> Column:
+    """The calendar years with a shipment, as an array."""
+    found = items.select(F.year("l_shipdate").alias("y")).dropna().distinct().collect()
+    return F.array(*[F.lit(y) for y in sorted(r["y"] for r in found)]).cast("array<int>")
+
+
 def distances(nation: DataFrame) -> DataFrame:
     a, b = F.col("a"), F.col("b")
     near = (F.col("ra") == F.col("rb")) & (F.abs(a - b) <= 5)
@@ -258,13 +263,13 @@ def hs_crosswalk(part: DataFrame) -> DataFrame:
     )
 
 
-def rtas(nation: DataFrame) -> DataFrame:
+def rtas(nation: DataFrame, years: Column) -> DataFrame:
     a, b = F.col("a"), F.col("b")
     return (
         nation_pairs(nation)
         .filter((a < b) & ((a + b) % 3 == 0))
         .select(
-            F.explode(F.sequence(F.lit(RTA_FROM), F.lit(YEARS[1]))).alias("year"),
+            F.explode(F.filter(years, lambda y: y >= RTA_FROM)).alias("year"),
             iso(a).alias("country1"),
             iso(b).alias("country2"),
             F.lit(1).alias("rta"),
@@ -280,10 +285,9 @@ def country_codes(nation: DataFrame) -> DataFrame:
     return own.unionByName(spark.createDataFrame(list(EXTRA_CODES), schemas.COUNTRY_CODES))
 
 
-def valuation_raw(customer: DataFrame, nation: DataFrame) -> DataFrame:
+def valuation_raw(customer: DataFrame, nation: DataFrame, years: Column) -> DataFrame:
     """Notes of the customers' nations and of the special reporters, some rows repeated."""
     note = "struct<reporter: string, trade_flow: string, valuation: string, r: int>"
-    years = F.explode(F.sequence(F.lit(YEARS[0]), F.lit(YEARS[1]))).alias("y")
 
     def row(reporter: Column, flow: str, value: Column, r: Column) -> Column:
         return F.struct(
@@ -319,7 +323,7 @@ def valuation_raw(customer: DataFrame, nation: DataFrame) -> DataFrame:
             (F.col("at") + 100).alias("r"),
         )
     )
-    return own.unionByName(special).select("*", years)
+    return own.unionByName(special).select("*", F.explode(years).alias("y"))
 
 
 # --- all of it --------------------------------------------------------------------------------
@@ -333,13 +337,14 @@ def fixture(spark: SparkSession, sf_dir: str) -> Fixture:
     root = scratch_path(spark, "fixture")
     write_flows(spark, sf_dir, root)
     nation, customer = table(spark, sf_dir, "nation"), table(spark, sf_dir, "customer")
+    years = ship_years(table(spark, sf_dir, "lineitem"))
     small = {
         "distances": distances(nation),
         "countries": countries(nation),
         "hs_crosswalk": hs_crosswalk(table(spark, sf_dir, "part")),
-        "rtas": rtas(nation),
+        "rtas": rtas(nation, years),
         "country_codes": country_codes(nation),
-        "valuation_raw": valuation_raw(customer, nation),
+        "valuation_raw": valuation_raw(customer, nation, years),
     }
     for name, df in small.items():
         df.write.parquet(f"{root}/{name}")

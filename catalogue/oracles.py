@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 
 from catalogue import model as M
-from catalogue.derive import CUTOVER_YEAR, EXTRA_CODES, RTA_FROM, SPECIAL_REPORTERS, YEARS
+from catalogue.derive import CUTOVER_YEAR, EXTRA_CODES, RTA_FROM, SPECIAL_REPORTERS
 
 KG = "weight in kilograms"
 ELECTRIC = "electrical energy in thousands of kilowatt-hours"
@@ -113,7 +113,14 @@ FROM {source}"""
 def mirror(exports: str, imports: str, measures) -> str:
     cols = ", ".join(f"e.{c} AS {c}_exp, i.{c} AS {c}_imp" for c in measures)
     keys = ", ".join(f"coalesce(e.{a}, i.{b}) AS {a}" for a, b in SWAP)
-    return f"SELECT {keys}, {cols} FROM {exports} e FULL JOIN {imports} i ON {same('e', 'i', SWAP)}"
+    own = ", ".join(f"i.{b} AS {a}" for a, b in SWAP)
+    alone = ", ".join(f"NULL AS {c}_exp, i.{c} AS {c}_imp" for c in measures)
+    # the full join as a left join and the imports without a partner
+    return (
+        f"SELECT {keys}, {cols} FROM {exports} e LEFT JOIN {imports} i ON {same('e', 'i', SWAP)}"
+        f" UNION ALL SELECT {own}, {alone} FROM {imports} i"
+        f" WHERE NOT EXISTS (SELECT 1 FROM {exports} e WHERE {same('e', 'i', SWAP)})"
+    )
 
 
 def netted(main: str, re_flow: str) -> str:
@@ -163,7 +170,7 @@ PREDICTOR = (
     + " END"
 )
 SPECIAL = ", ".join(f"({i}, {quote(n)})" for i, n in enumerate(SPECIAL_REPORTERS))
-NOTE_YEARS = f"(SELECT unnest(generate_series({YEARS[0]}, {YEARS[1]})) AS y) yy"
+NOTE_YEARS = "(SELECT DISTINCT year(l_shipdate) AS y FROM lineitem) yy"
 
 CTES: dict[str, str] = {
     "base": """
@@ -205,7 +212,7 @@ SELECT {hs('01', 'block + k')}, {hs('02', 'block + k // 2 + 1')} FROM xwalk_inde
 SELECT CAST(y AS INTEGER) AS year, {iso('a.n_nationkey')} AS country1, {iso('b.n_nationkey')} AS country2, 1 AS rta
 FROM nation a JOIN nation b
   ON a.n_nationkey < b.n_nationkey AND (a.n_nationkey + b.n_nationkey) % 3 = 0,
-  (SELECT unnest(generate_series({RTA_FROM}, {YEARS[1]})) AS y) yy""",
+  {NOTE_YEARS} WHERE y >= {RTA_FROM}""",
     "country_codes": f"""
 SELECT n_name AS country_name_english, upper({iso('n_nationkey')}) AS iso3_digit_alpha FROM nation
 UNION ALL VALUES {", ".join(f"({quote(a)}, {quote(b)})" for a, b in EXTRA_CODES)}""",
@@ -340,6 +347,10 @@ WHERE trade_value_usd_exp + trade_value_usd_imp > 0""",
 }
 
 
+#: Blocks that others read more than once, or that end in a join on keys that may be null.
+MATERIALIZED = ("flows", "mirror_t", "mirror_i", "converted", "final")
+
+
 def needed(text: str, done: list[str] | None = None) -> list[str]:
     """Names of the blocks a text refers to, each after those it needs itself."""
     done = [] if done is None else done
@@ -355,6 +366,8 @@ def sql(query: str, extra: dict[str, str] | None = None) -> str:
     """The query with the blocks it needs; ``extra`` blocks come after them, in order."""
     extra = extra or {}
     blocks = needed(" ".join([query, *extra.values()]))
-    parts = [f"{n} AS (\n{CTES[n].strip()}\n)" for n in blocks]
+    parts = [
+        f"{n} AS {'MATERIALIZED ' if n in MATERIALIZED else ''}(\n{CTES[n].strip()}\n)" for n in blocks
+    ]
     parts += [f"{n} AS (\n{b.strip()}\n)" for n, b in extra.items()]
     return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + query.strip()

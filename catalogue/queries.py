@@ -30,10 +30,14 @@ TRAINING_KEYS = ["year", "exporter_iso", "importer_iso", "commodity_code"]
 TRAINING_KEY_SQL = ", ".join(TRAINING_KEYS)
 
 
-def register(name: str, oracle: str | None = None, extra: dict[str, str] | None = None):
+def register(
+    name: str, oracle: str | None = None, extra: dict[str, str] | None = None, derived: bool = True
+):
+    """Register a query. Those that are not ``derived`` read the given tables only."""
+
     def add(fn: Callable[[Fixture, SparkSession, str], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(fixture(spark, sf_dir), spark, sf_dir)
+            return fn(fixture(spark, sf_dir) if derived else None, spark, sf_dir)
 
         run.__name__ = name
         QUERIES[name] = run
@@ -237,6 +241,7 @@ RAW_CODES = ("ROM", "Yug", "TMP", "zar")
   SELECT c_custkey, lower(CASE c_nationkey % 7
     {' '.join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(RAW_CODES))}
     WHEN 4 THEN NULL ELSE upper({O.iso('c_nationkey')}) END) AS raw FROM customer) t""",
+    derived=False,
 )
 def fix_iso(fx, spark, sf_dir):
     at = F.col("c_nationkey") % 7
@@ -576,7 +581,7 @@ def backfill_years(fx, spark, sf_dir):
     path = scratch_path(spark, "backfill")
     rows = flows.filter_flow(fx.flows, "export").filter(F.col("year") < 1999)
     tables.write_by_year(rows, path)
-    return tables.missing_years(fx.flows.select("year"), tables.try_read(spark, path))
+    return tables.missing_years(fx.flows.select("year"), tables.present_years(spark, path))
 
 
 # --- second model and tests -------------------------------------------------------------------
@@ -707,6 +712,7 @@ FROM (SELECT page_id, texts, links, unnest(generate_series(1, len(texts))) AS i
   SELECT page_id, regexp_extract_all(nav, '<a href="[^"]*">([^<]*)</a>', 1) AS texts,
          regexp_extract_all(nav, '<a href="([^"]*)">', 1) AS links
   FROM (SELECT page_id, regexp_extract(html, '<nav>(.*?)</nav>', 1, 's') AS nav FROM pages) a) b) c""",
+    derived=False,
 )
 def page_elements(fx, spark, sf_dir):
     return pages.extract_elements(
@@ -744,6 +750,7 @@ NOTE_SQL = "c_name || ' & Co (former)'"
     f"""SELECT c_custkey AS r, 0 AS position, {NOTE_SQL} AS reporter, 'Import' AS trade_flow,
   CASE WHEN c_nationkey % 6 = 0 THEN 'FOB' ELSE 'CIF' END AS valuation, 'USD' AS currency_code FROM customer
 UNION ALL SELECT c_custkey, 1, {NOTE_SQL}, 'Export', 'FOB', 'USD' FROM customer""",
+    derived=False,
 )
 def page_tables(fx, spark, sf_dir):
     found = pages.extract_table(
@@ -758,6 +765,7 @@ def page_tables(fx, spark, sf_dir):
 @register(
     "q45_split_ids",
     """SELECT o_custkey AS id FROM orders UNION SELECT o_orderkey % 1000 FROM orders""",
+    derived=False,
 )
 def split_ids(fx, spark, sf_dir):
     listed = F.concat_ws(

@@ -20,21 +20,6 @@ UNMATCHED_COMMODITY = "999999"
 # quantity units
 KILOGRAMS = "weight in kilograms"
 ELECTRICITY = "electrical energy in thousands of kilowatt-hours"
-QUANTITY_UNITS = (
-    "no quantity",
-    "number of items",
-    "number of pairs",
-    "area in square metres",
-    "weight in kilograms",
-    "length in metres",
-    "volume in litres",
-    "electrical energy in thousands of kilowatt-hours",
-    "weight in carats",
-    "volume in cubic meters",
-    "thousands of items",
-    "dozen of items",
-    "number of packages",
-)
 
 # provenance flags of the harmonised table
 FLAG_UNCHANGED = "exports, no change"

@@ -131,14 +131,24 @@ def to_new_codes(df: DataFrame, crosswalk: DataFrame) -> DataFrame:
 
 
 def convert_hs(
-    df: DataFrame, crosswalk: DataFrame, keys: Sequence[str], sums: Sequence[str]
+    df: DataFrame,
+    crosswalk: DataFrame,
+    keys: Sequence[str],
+    sums: Sequence[str],
+    missing_as_zero: bool = True,
 ) -> DataFrame:
     """Convert rows in the old classification and sum what falls together.
 
-    The sums skip missing numbers, so a side nobody reported becomes 0 here. Partial sums are
-    formed before the shuffle, which also absorbs the hot "999999" code.
+    The sums skip missing numbers, so a side nobody reported becomes 0 here, or stays missing
+    with ``missing_as_zero=False``. Partial sums are formed before the shuffle, which also absorbs
+    the hot "999999" code.
     """
-    return to_new_codes(df, crosswalk).groupBy(*keys).agg(*[S.sum0(c).alias(c) for c in sums])
+
+    def total(c: str) -> Column:
+        some = F.count(S.nan_to_null(c)) > 0
+        return S.sum0(c) if missing_as_zero else F.when(some, S.sum0(c))
+
+    return to_new_codes(df, crosswalk).groupBy(*keys).agg(*[total(c).alias(c) for c in sums])
 
 
 def convert_hs_before(

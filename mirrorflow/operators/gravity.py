@@ -13,12 +13,23 @@ def _country(c: str) -> Column:
     return codes.fix_iso_codes(F.lower(c))
 
 
+def _single(value: Column, message: str) -> Column:
+    """The value of a group of one row; raises if the group has more."""
+    repeated = F.raise_error(F.lit(message)).cast("int").isNull()
+    return F.when(F.when(F.count(F.lit(1)) > 1, repeated).otherwise(F.lit(True)), F.max(value))
+
+
 def distance_lookup(distances: DataFrame) -> DataFrame:
-    return distances.select(
+    """Distances by current country codes; fails if a pair is then listed twice."""
+    renamed = distances.select(
         _country("iso_o").alias("reporter_iso"),
         _country("iso_d").alias("partner_iso"),
         "dist", "contig", "colony", "comlang_off",
     )
+    measures = ("dist", "contig", "colony", "comlang_off")
+    return renamed.groupBy("reporter_iso", "partner_iso").agg(
+        *[_single(F.col(c), "distance table: pair listed twice").alias(c) for c in measures]
+    )
 
 
 def landlocked_lookup(countries: DataFrame, side: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from mirrorflow.functions import codes
 from mirrorflow.functions import semantics as S
 from mirrorflow.operators.median import Stage
-from mirrorflow.sources.scratch import keep_lazy
+from mirrorflow.sources.scratch import materialise
 
 REPORTER_YEAR = ("year", "reporter_iso")
 OUTPUT_KEYS = ("year", "reporter_iso", "partner_iso", "commodity_code")
@@ -46,15 +46,9 @@ def impute_trade(df: DataFrame) -> DataFrame:
     out = df.withColumn(
         "trade_value_usd_imp_fob", S.ieee_div("trade_value_usd_imp", "fitted_unit_ratio")
     )
-    out = out.withColumns(
-        {
-            "direct_mismatch": F.abs(F.col("trade_value_usd_imp") - F.col("trade_value_usd_exp")),
-            "fobization_mismatch": F.abs(
-                F.col("trade_value_usd_imp_fob") - F.col("trade_value_usd_exp")
-            ),
-        }
-    )
-    closer = (S.nan_to_null("fobization_mismatch") < S.nan_to_null("direct_mismatch")) & (
+    reported = F.abs(F.col("trade_value_usd_imp") - F.col("trade_value_usd_exp"))
+    converted = F.abs(F.col("trade_value_usd_imp_fob") - F.col("trade_value_usd_exp"))
+    closer = (S.nan_to_null(converted) < S.nan_to_null(reported)) & (
         F.col("fobization") == codes.CONVERT
     )
     return out.withColumn(
@@ -101,7 +95,7 @@ def _fallback_value(divisor: float):
 
 
 def zero_exporter_fallback(
-    df: DataFrame, divisor: float, stage: Stage = keep_lazy, check: bool = True
+    df: DataFrame, divisor: float, stage: Stage = materialise, check: bool = True
 ) -> DataFrame:
     """Give reporters without any exports the partners' reports: the FOB value if finite, else
     the import value over ``divisor``, whatever the label says.

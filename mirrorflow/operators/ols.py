@@ -21,6 +21,7 @@ from mirrorflow.functions.distributions import f_upper, t_two_sided
 INTERCEPT = "(Intercept)"
 ALIAS_TOLERANCE = 1e-11  # squared length left of a column after removing the earlier ones
 FULL_LEVERAGE = 1.0 - 1e-8
+MAX_LEVELS = 1000
 
 
 @dataclass
@@ -134,7 +135,7 @@ def find_centre(df: DataFrame, y: str, x: Sequence[str]) -> Centre:
     )
 
 
-def _scaled(x: Sequence[str], centre: Centre) -> list[Column]:
+def scaled(x: Sequence[str], centre: Centre) -> list[Column]:
     return [
         (F.col(c) - F.lit(m)) * F.lit(1.0 / s)
         for c, m, s in zip(x, centre.mean, centre.scale)
@@ -151,7 +152,7 @@ def cross_products(
 ) -> DataFrame:
     """Per group: n, and the weighted sums of products of 1, the regressors and the response."""
     w = F.col(weight).cast("double") if weight else F.lit(1.0)
-    z = [F.lit(1.0), *_scaled(x, centre), F.col(y) - F.lit(centre.y)]
+    z = [F.lit(1.0), *scaled(x, centre), F.col(y) - F.lit(centre.y)]
     names = [f"_z{i}" for i in range(len(z))]
     group_col = F.col(group).cast("string") if group else F.lit("all")
     rows = df.select(
@@ -170,7 +171,7 @@ def cross_products(
     )
 
 
-def _independent(m: np.ndarray) -> list[int]:
+def independent(m: np.ndarray) -> list[int]:
     """Columns kept when those that depend on earlier ones are dropped in order."""
     kept: list[int] = []
     for j in range(m.shape[0]):
@@ -185,6 +186,37 @@ def _independent(m: np.ndarray) -> list[int]:
     return kept
 
 
+def check_levels(rows: DataFrame, group: str) -> list[str]:
+    """The values of ``group`` in ascending order; raises if there are more than ``MAX_LEVELS``.
+
+    A fit keeps a row per value on the driver, and the square of their number there. Finer groups
+    have to be absorbed before, by taking all columns about their group means.
+    """
+    found = rows.select(F.col(group).cast("string").alias("g")).distinct().limit(MAX_LEVELS + 1).collect()
+    if len(found) > MAX_LEVELS:
+        raise ValueError(f"{group} has more than {MAX_LEVELS} values")
+    return sorted(r["g"] for r in found)
+
+
+def add_group_effect(
+    df: DataFrame, group: str, effects: dict[str, float], levels: Sequence[str], name: str
+) -> DataFrame:
+    """``name``: the effect of the row's group value, 0 for levels without one.
+
+    NULL for a NULL group; a value that is none of ``levels`` raises when the row is computed.
+    """
+    table = df.sparkSession.createDataFrame(
+        [(str(g), float(effects.get(g) or 0.0)) for g in levels], "_level string, _value double"
+    )
+    key = F.col(group).cast("string")
+    # a row per level, of which a fit has MAX_LEVELS at most
+    out = df.join(F.broadcast(table), key == F.col("_level"), "left")
+    unseen = F.raise_error(F.concat(F.lit(f"{group} not in the model: "), key)).cast("double")
+    effect = F.when(key.isNull(), F.lit(None).cast("double"))
+    effect = effect.when(F.col("_level").isNull(), unseen).otherwise(F.col("_value"))
+    return out.withColumn(name, effect).drop("_level", "_value")
+
+
 def fit_wls(
     df: DataFrame,
     y: str,
@@ -203,6 +235,8 @@ def fit_wls(
     rows = complete_rows(df, y, x, weight, group)
     if centre is None:
         centre = find_centre(rows, y, x)
+    if group:
+        check_levels(rows, group)
     blocks = sorted(cross_products(rows, y, x, weight, group, centre).collect(), key=lambda r: r["_g"])
     if sum(r["n_bad"] for r in blocks):
         raise ValueError("model columns hold infinite or NaN values")
@@ -232,7 +266,7 @@ def fit_wls(
         wsum += s[0, 0]
         wy += s[0, dim - 1]
 
-    kept = _independent(m)
+    kept = independent(m)
     ginv, beta = np.zeros((p, p)), np.zeros(p)
     ginv[np.ix_(kept, kept)] = np.linalg.inv(m[np.ix_(kept, kept)])
     beta[kept] = np.linalg.solve(m[np.ix_(kept, kept)], v[kept])
@@ -281,15 +315,11 @@ def predict(df: DataFrame, model: LinearModel, name: str) -> DataFrame:
     for c in model.x:
         if model.coefficients.get(c) is not None:
             out = out + F.col(c) * F.lit(float(model.coefficients[c]))
-    if model.group:
-        g = F.col(model.group).cast("string")
-        effect = F.when(g.isNull(), F.lit(None).cast("double"))
-        for level in model.levels:
-            b = float(model.coefficients.get(f"{model.group}{level}") or 0.0)
-            effect = effect.when(g == str(level), F.lit(b))
-        unseen = F.raise_error(F.concat(F.lit(f"{model.group} not in the model: "), g)).cast("double")
-        out = out + effect.otherwise(unseen)
-    return df.withColumn(name, out)
+    if not model.group:
+        return df.withColumn(name, out)
+    effects = {g: model.coefficients.get(f"{model.group}{g}") for g in model.levels}
+    df = add_group_effect(df, model.group, effects, [str(g) for g in model.levels], "_effect")
+    return df.withColumn(name, out + F.col("_effect")).drop("_effect")
 
 
 # --- influence and outliers -------------------------------------------------------------------
@@ -365,6 +395,12 @@ def influence(df: DataFrame, fit: Fit) -> DataFrame:
     )
 
 
+def _check_spread(fit: Fit) -> None:
+    """The rules need an error variance and more rows than coefficients."""
+    if fit.n <= fit.p + 1 or not fit.rss > 0:
+        raise ValueError("outliers are not defined for a perfect fit or with so few rows")
+
+
 def remove_outliers(df: DataFrame, fit: Fit, two_sided: bool = False) -> DataFrame:
     """Rows with a studentised residual below 2, Cook's distance below 4/(n-p-1) and leverage
     below 2p/n. Only large positive residuals count as outliers unless ``two_sided``.
@@ -374,6 +410,7 @@ def remove_outliers(df: DataFrame, fit: Fit, two_sided: bool = False) -> DataFra
     pushes each down and inlines what it refers to, and a large method is not compiled by the
     JVM's JIT.
     """
+    _check_spread(fit)
     out, fitted, hat, own = _fit_terms(df, fit)
     df_res, s2 = fit.df_residual, fit.sigma2
     e = F.sqrt(_weight(fit)) * (F.col(fit.y) - fitted)
@@ -389,6 +426,7 @@ def remove_outliers(df: DataFrame, fit: Fit, two_sided: bool = False) -> DataFra
 
 def count_outliers(df: DataFrame, fit: Fit, two_sided: bool = False) -> DataFrame:
     """One row: rows that break a rule, judged by the standardised (internal) residual."""
+    _check_spread(fit)
     rows = influence(complete_rows(df, fit.y, fit.x, fit.weight, fit.group), fit)
     r = F.abs("std_resid") if two_sided else F.col("std_resid")
     kept = (
@@ -455,7 +493,9 @@ def reset_test(
     fitted = predict(rows, base.model, "_fitted")
     wider = fitted.withColumn("_power", F.pow("_fitted", F.lit(float(power))))
     more = fit_wls(wider, fit.y, [*fit.x, "_power"], weight, fit.group)
-    df2 = more.n - more.p
+    if more.coefficient("_power") is None:
+        raise ValueError("the power depends on the regressors: the test is not defined")
+    df2 = more.n - more.rank
     stat = (base.rss - more.rss) / (more.rss / df2)
     return {"statistic": stat, "df1": 1.0, "df2": float(df2), "p_value": f_upper(stat, 1, df2)}
 

@@ -16,8 +16,10 @@ def coefficient_comparison(
 ) -> DataFrame:
     """Estimate, error, statistic and p-value per model and term."""
     rows = [("ols", *r) for r in ols.coefficient_rows(fit)]
-    for t, b, s, p in zip(poisson.terms, poisson.estimate, poisson.std_error, poisson.p_value):
-        rows.append(("ppml", t, b, s, b / s, p))
+    measures = zip(
+        poisson.terms, poisson.estimate, poisson.std_error, poisson.statistic, poisson.p_value
+    )
+    rows += [("ppml", *r) for r in measures]
     return spark.createDataFrame(rows, f"model string, {ols.COEFFICIENTS}")
 
 

@@ -24,16 +24,19 @@ def netted_mirror(all_flows: DataFrame) -> DataFrame:
     return flows.mirror_join(exports, imports)
 
 
-def converted_mirror(all_flows: DataFrame, crosswalk: DataFrame, cutover_year: int) -> DataFrame:
+def converted_mirror(
+    all_flows: DataFrame, crosswalk: DataFrame, cutover_year: int, missing_as_zero: bool = True
+) -> DataFrame:
     """``netted_mirror`` with all years in the new classification.
 
-    Converted years lose the difference between 0 and not reported; later years keep it.
+    Converted years lose the difference between 0 and not reported unless ``missing_as_zero`` is
+    False; later years keep it.
     """
     return flows.per_vintage(
         all_flows,
         cutover_year,
         old=lambda f: flows.convert_hs(
-            netted_mirror(f), crosswalk, flows.IMPUTE_GROUP, flows.IMPUTE_SUMS
+            netted_mirror(f), crosswalk, flows.IMPUTE_GROUP, flows.IMPUTE_SUMS, missing_as_zero
         ),
         new=lambda f: netted_mirror(f).select(*flows.IMPUTE_GROUP, *flows.IMPUTE_SUMS),
     )
@@ -66,16 +69,21 @@ def imputed_flows(
     stage: Stage = materialise,
     valuation_side: str = "reporter",
     check: bool = True,
+    divisor: float | None = None,
+    missing_as_zero: bool = True,
 ) -> DataFrame:
     """Per mirrored flow the imputed export value and its provenance.
 
-    The mirror table is written once (``stage``): the medians, the reporters' totals and the
-    result then scan it, without repeating the joins and the conversion.
+    The mirror table is written once (``stage``) for the medians and the lookups, and the labelled
+    rows for the reporters' totals and the result. ``divisor`` is that of reporters without
+    exports, 1 + the intercept of ``model`` unless given.
     """
-    mirror = converted_mirror(all_flows, lookups.hs_crosswalk, cutover_year)
+    mirror = converted_mirror(all_flows, lookups.hs_crosswalk, cutover_year, missing_as_zero)
     mirror = stage(flows.quantity_in_kg(flows.reported_by(mirror)), "mirror")
-    out = labelled(mirror, lookups, model, stage, valuation_side)
-    return impute.zero_exporter_fallback(out, 1.0 + model.intercept, stage, check)
+    out = stage(labelled(mirror, lookups, model, stage, valuation_side), "labelled")
+    return impute.zero_exporter_fallback(
+        out, 1.0 + model.intercept if divisor is None else divisor, stage, check
+    )
 
 
 def impute_flows(
@@ -86,10 +94,14 @@ def impute_flows(
     stage: Stage = materialise,
     valuation_side: str = "reporter",
     check: bool = True,
+    divisor: float | None = None,
+    missing_as_zero: bool = True,
 ) -> DataFrame:
     """The harmonised table: value, mirror value and flag per year, pair and commodity."""
     return impute.mirror_output(
-        imputed_flows(all_flows, lookups, model, cutover_year, stage, valuation_side, check)
+        imputed_flows(
+            all_flows, lookups, model, cutover_year, stage, valuation_side, check, divisor, missing_as_zero
+        )
     )
 
 

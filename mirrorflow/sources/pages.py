@@ -1,38 +1,81 @@
 """Extraction of repeated elements and tables from a column of HTML pages.
 
 Everything is a projection of one page row into its elements: no shuffle, no Python worker.
+Comments are taken out first. A container ends at the first end tag of its kind, so of nested
+tables the inner one has to be asked for.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
+from html.entities import name2codepoint
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mirrorflow.functions.codes import snake_case_column
 
+_ATTRIBUTE = r"""\s+[^\s=>"'/]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+))?"""
+_REST_OF_TAG = r"""(?:[^>"']|"[^"]*"|'[^']*')*>"""
+
 
 def _literal(pattern: str) -> Column:
     return F.lit(pattern)
 
 
 def _open_tag(tag: str, attrs: dict[str, str] | None) -> str:
-    """Pattern of an opening tag whose attributes include the given ones, in any order."""
-    ahead = "".join(
-        rf"""(?=[^>]*\b{name}\s*=\s*["']?[^"'>]*\b{value}\b)"""
-        for name, value in (attrs or {}).items()
+    """Pattern of an opening tag whose attributes include the given ones, in any order.
+
+    A class is looked for among the words of the attribute, any other value is the whole of it.
+    """
+    ahead = ""
+    for name, value in (attrs or {}).items():
+        one = re.escape(value)
+        words = [rf"(?:[^{q}]*\s)?{one}(?:\s[^{q}]*)?" if name.lower() == "class" else one for q in "\"'"]
+        given = rf"""(?:"{words[0]}"|'{words[1]}'|{one}(?=[\s>/]))"""
+        ahead += rf"(?=(?:{_ATTRIBUTE})*?\s+{re.escape(name)}\s*=\s*{given})"
+    return rf"<{tag}(?=[\s>/]){ahead}{_REST_OF_TAG}"
+
+
+def _without_comments(html: Column) -> Column:
+    return F.regexp_replace(html, r"(?s)<!--.*?-->", "")
+
+
+def decode_entities(text: Column) -> Column:
+    """Numeric character references and the names of ASCII and Latin-1 characters decoded.
+
+    A no-break space becomes a space. References that name no character stay as they are.
+    """
+    names = [F.lit(x) for n, c in sorted(name2codepoint.items()) if c < 256 for x in (n, chr(c))]
+    known = F.create_map(F.lit("apos"), F.lit("'"), *names)
+    pattern = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z]+[0-9]*);"
+
+    def character(code: Column) -> Column:
+        valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+
+    def decoded(name: Column) -> Column:
+        hexadecimal = F.conv(F.substring(name, 3, 6), 16, 10).cast("long")
+        number = F.substring(name, 2, 7).try_cast("long")
+        found = (
+            F.when(name.rlike("^#[xX]"), character(hexadecimal))
+            .when(name.startswith("#"), character(number))
+            .otherwise(F.try_element_at(known, name))
+        )
+        return F.coalesce(found, F.concat(F.lit("&"), name, F.lit(";")))
+
+    pieces = F.split(text, pattern)
+    marks = F.transform(F.regexp_extract_all(text, _literal(pattern), F.lit(1)), decoded)
+    joined = F.array_join(
+        F.transform(pieces, lambda p, i: F.concat(p, F.coalesce(F.get(marks, i), F.lit("")))), ""
     )
-    return rf"<{tag}\b{ahead}[^>]*>"
+    return F.when(F.contains(text, F.lit("&")), F.replace(joined, F.lit("\u00a0"), F.lit(" "))).otherwise(text)
 
 
 def element_text(fragment: Column) -> Column:
-    """Visible text of an HTML fragment: tags dropped, common entities decoded, trimmed."""
-    text = F.regexp_replace(fragment, r"(?s)<[^>]*>", "")
-    for entity, char in (
-        ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"),
-    ):
-        text = F.replace(text, F.lit(entity), F.lit(char))
+    """Visible text of an HTML fragment: tags dropped, entities decoded, trimmed."""
+    text = decode_entities(F.regexp_replace(fragment, r"(?s)<[^>]*>", ""))
     return F.trim(F.regexp_replace(text, r"\s+", " "))
 
 
@@ -51,17 +94,21 @@ def extract_elements(
     where the element lacks the attribute. The end tag of an element may be missing.
     """
     first = F.regexp_extract(
-        F.col(html), rf"(?is){_open_tag(container, container_attrs)}(.*?)</{container}>", 1
+        _without_comments(F.col(html)),
+        rf"(?is){_open_tag(container, container_attrs)}(.*?)</{container}>",
+        1,
     )
     found = F.regexp_extract_all(
         first, _literal(rf"(?is)(<{element}\b[^>]*>.*?)(?=</{element}>|<{element}\b|\z)"), F.lit(1)
     )
-    value = rf"""(?is)^<{element}\b[^>]*?\b{attribute}\s*=\s*["']([^"']*)["']"""
+    given = r"""\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+    value = rf"(?is)^<{element}(?:{_ATTRIBUTE})*?\s+{re.escape(attribute)}{given}"
+    of_value = F.concat(*[F.regexp_extract("_element", value, i) for i in (1, 2, 3)])
     return pages.select(*keys, F.posexplode(found).alias("position", "_element")).select(
         *keys,
         "position",
         element_text(F.col("_element")).alias("text"),
-        F.when(F.col("_element").rlike(value), F.regexp_extract("_element", value, 1)).alias("value"),
+        F.when(F.col("_element").rlike(value), of_value).alias("value"),
     )
 
 
@@ -74,11 +121,11 @@ def extract_table(
 ) -> DataFrame:
     """Rows of the first matching ``<table>`` of each page, one column per listed header.
 
-    The first row is the header; its cells are turned into snake_case and matched with
-    ``columns``. A listed header that the page lacks, or a short row, gives NULL. Returns the
+    The first row is the header; its cells are turned into snake_case, repeated ones with the
+    suffixes _2, _3, ..., and matched with ``columns``. A listed header that the page lacks, or a short row, gives NULL. Returns the
     key columns, ``position`` (from 0, header not counted) and the listed columns.
     """
-    table = F.regexp_extract(F.col(html), rf"(?is){_open_tag('table', table_attrs)}(.*?)</table>", 1)
+    table = F.regexp_extract(_without_comments(F.col(html)), rf"(?is){_open_tag('table', table_attrs)}(.*?)</table>", 1)
     rows = F.regexp_extract_all(table, _literal(r"(?is)<tr\b[^>]*>(.*?)(?=</tr>|<tr\b|\z)"), F.lit(1))
 
     def cells(row: Column) -> Column:
@@ -88,10 +135,16 @@ def extract_table(
     titles = F.transform(
         cells(F.get(F.col("_rows"), F.lit(0))), lambda c: snake_case_column(element_text(c))
     )
+
+    def numbered(title: Column, i: Column) -> Column:
+        times = F.size(F.filter(F.slice("_titles", F.lit(1), i + 1), lambda x: x == title))
+        return F.when(times > 1, F.concat(title, F.lit("_"), times.cast("string"))).otherwise(title)
+
     body = F.slice(F.col("_rows"), F.lit(2), F.greatest(F.size("_rows") - 1, F.lit(0)))
     out = (
         pages.select(*keys, rows.alias("_rows"))
         .select(*keys, "_rows", titles.alias("_titles"))  # once per page, not per row
+        .select(*keys, "_rows", F.transform("_titles", numbered).alias("_titles"))
         .select(*keys, "_titles", F.posexplode(body).alias("position", "_row"))
         .select(*keys, "position", "_titles", cells(F.col("_row")).alias("_cells"))
     )

@@ -7,31 +7,27 @@ true size of the table, so that a small one is broadcast and a large one is not,
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_roots: dict[str, str] = {}
-
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``; on local masters only, a fresh one if unset."""
+    """The folder named in ``spark.checkpoint.dir``; if unset, one in the session's warehouse.
+
+    Both are shared by the driver and all executors.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _local_roots:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        _local_roots[app] = tempfile.mkdtemp(prefix="mirrorflow-")
-    return _local_roots[app]
+    return (root or spark.conf.get("spark.sql.warehouse.dir") + "/_scratch").rstrip("/")
+
+
+def _own_root(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/mirrorflow-{spark.sparkContext.applicationId}"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for ``name`` that no other call returns."""
-    app = spark.sparkContext.applicationId
-    return f"{scratch_root(spark)}/mirrorflow-{app}/{name}-{uuid.uuid4().hex}"
+    return f"{_own_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
@@ -42,6 +38,10 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def keep_lazy(df: DataFrame, name: str) -> DataFrame:
-    """Drop-in for ``materialise`` that leaves the plan as it is."""
-    return df
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove all tables that this application has written to the scratch folder.
+
+    For the end of an application: results that have not been written elsewhere are lost.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

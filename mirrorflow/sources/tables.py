@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable
 
 from pyspark.errors import AnalysisException
@@ -95,13 +96,17 @@ def load_or_build(
     return spark.read.schema(df.schema).parquet(path)
 
 
-def missing_years(years: DataFrame, present: DataFrame | None) -> DataFrame:
-    """Distinct years asked for that ``present`` does not hold."""
+def present_years(spark: SparkSession, path: str) -> list[int]:
+    """Years that have a file in the table at ``path``, from the names of its files; none is read."""
+    found = try_read(spark, path)
+    names = found.inputFiles() if found is not None else []
+    return sorted({int(y) for name in names for y in re.findall(r"/year=(\d+)/", name)})
+
+
+def missing_years(years: DataFrame, present: Iterable[int]) -> DataFrame:
+    """Distinct years asked for that are not among ``present``."""
     asked = years.select(F.col("year").cast("int").alias("year")).distinct()
-    if present is None:
-        return asked
-    have = present.select(F.col("year").cast("int").alias("year")).distinct()
-    return asked.join(have, "year", "left_anti")
+    return asked.filter(~F.col("year").isin(list(present)))
 
 
 def backfill(
@@ -114,8 +119,7 @@ def backfill(
 
     ``build`` gets the whole list at once, so the missing years make one job, not a loop.
     """
-    asked = spark.createDataFrame([(int(y),) for y in years], "year int")
-    todo = sorted(r.year for r in missing_years(asked, try_read(spark, path)).collect())
+    todo = sorted({int(y) for y in years} - set(present_years(spark, path)))
     if todo:
         write_by_year(build(todo), path, only_these_years=True)
     return todo

