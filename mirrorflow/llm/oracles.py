@@ -34,12 +34,12 @@ WITH d AS (
   FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM f)
   WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r
 ), ref_n AS (
-  SELECT lang, sum(n) AS total, [sum(cs[1]), sum(cs[2]), sum(cs[3]), sum(cs[4]), sum(cs[5]), sum(cs[6]), sum(cs[7])] AS sums
-  FROM f WHERE n >= 50 GROUP BY lang HAVING sum(n) >= 1000
+  SELECT lang, CAST(sum(n) AS BIGINT) AS total, [sum(cs[1]), sum(cs[2]), sum(cs[3]), sum(cs[4]), sum(cs[5]), sum(cs[6]), sum(cs[7])] AS sums
+  FROM f GROUP BY lang HAVING sum(n) >= 1000
 ), ref_w AS (
   SELECT *, row_number() OVER (PARTITION BY lang ORDER BY times DESC, word) AS rank
-  FROM (SELECT lang, lower(word) AS word, count(*) AS times FROM e WHERE n >= 50 GROUP BY ALL)
-  QUALIFY rank <= 32
+  FROM (SELECT lang, lower(word) AS word, count(*) AS times FROM e GROUP BY ALL)
+  QUALIFY rank <= 16
 ), share AS (
   SELECT lang, rank, word, times / total AS q FROM ref_w JOIN ref_n USING (lang)
   UNION ALL
@@ -270,7 +270,7 @@ WITH d AS (
     CAST(floor(k1 * 1024.0 / (max(k1) OVER () + 1)) AS BIGINT) AS x1,
     CAST(floor(k2 * 1024.0 / (max(k2) OVER () + 1)) AS BIGINT) AS x2 FROM k
 ), placed AS (
-  SELECT *, row_number() OVER (ORDER BY curve, doc_id) - 1 AS place, count(*) OVER () AS n FROM {_curve(10, 3)}
+  SELECT *, row_number() OVER (ORDER BY curve, doc_id NULLS FIRST) - 1 AS place, count(*) OVER () AS n FROM {_curve(10, 3)}
 )
 SELECT doc_id, CAST(size AS BIGINT) AS size, 'rows' AS law, CAST(place * 40 // n AS INT) AS shard,
   place - (place * 40 // n * n + 39) // 40 AS slot, CAST(NULL AS INT) AS grown_shard, CAST(curve AS BIGINT) AS curve,

@@ -23,7 +23,7 @@ CLASSES = ("lower", "space", "upper", "digit", "punct", "symbol", "other")
 class Limits:
     """Production parameters; distances lie between 0 and 1."""
 
-    common_words: int = 32
+    common_words: int = 16
     min_words: int = 50
     min_reference_words: int = 1000
     max_class_distance: float = 0.28
@@ -33,19 +33,22 @@ class Limits:
 def _repeat_positions(df: DataFrame) -> DataFrame:
     """Adds ``_repeats``: sorted start positions of 3-word windows that occur twice or more.
 
-    Windows are first told apart by a 32-bit hash, packed with the position so that one sort of
-    longs brings equal ones together; those that meet another are compared by their words.
+    Windows are first told apart by a 32-bit hash. Where some are equal they are packed with their
+    positions, so that one sort of longs brings them together, and compared by their words.
     """
 
     def window(i: Column) -> list[Column]:
         return [F.get("_words", i + j) for j in range(3)]
 
+    starts = F.sequence(F.lit(0), F.size("_words") - 3)
+    codes = F.transform(starts, lambda i: F.hash(*window(i)))
+    df = df.withColumn("_codes", F.when(F.size("_words") >= 3, codes).otherwise(F.array().cast("array<int>")))
     packed = F.transform(
-        F.sequence(F.lit(0), F.size("_words") - 3),
-        lambda i: F.shiftleft(F.hash(*window(i)).cast("long"), 32).bitwiseOR(i.cast("long")),
+        "_codes", lambda h, i: F.shiftleft(h.cast("long"), 32).bitwiseOR(i.cast("long"))
     )
+    some = F.size(F.array_distinct("_codes")) < F.size("_codes")
     none = F.array().cast("array<bigint>")
-    df = df.withColumn("_sorted", F.when(F.size("_words") >= 3, F.sort_array(packed)).otherwise(none))
+    df = df.withColumn("_sorted", F.when(some, F.sort_array(packed)).otherwise(none)).drop("_codes")
 
     def code(i: Column) -> Column:
         return F.shiftright(F.get("_sorted", i), 32)
@@ -72,8 +75,8 @@ def _repeat_positions(df: DataFrame) -> DataFrame:
 
 
 def counted(df: DataFrame, text: Column) -> DataFrame:
-    """Adds ``_words`` and ``_counts``, the character classes of the text by name."""
-    df = df.withColumns({"_words": words(text), "_rest": F.coalesce(text, F.lit(""))})
+    """Adds ``_counts``, the character classes of the text by name, and ``_marks``."""
+    df = df.withColumn("_rest", F.coalesce(text, F.lit("")))
     patterns = {
         "lower": "[a-z]+", "space": SPACE, "upper": "[A-Z]+", "digit": "[0-9]+",
         "punct": r"""[.,;:!?'"()\-]+""", "symbol": r"[\x21-\x7E]+",
@@ -95,18 +98,16 @@ def counted(df: DataFrame, text: Column) -> DataFrame:
 def language_references(docs: DataFrame, lang: Column, text: Column, limits: Limits) -> DataFrame:
     """Per language the shares of character classes and of its most common lower-cased words.
 
-    Taken over all documents of ``min_words`` words or more. ``common`` is ordered by count, ties by
-    spelling; the first entry of ``word_shares`` is the share of all other words. A null language
-    is the language ''. Languages with fewer than ``min_reference_words`` words are left out.
+    Taken over all documents. ``common`` is ordered by count, ties by spelling; the first entry of
+    ``word_shares`` is the share of all other words. A null language is the language ''. Languages
+    with fewer than ``min_reference_words`` words are left out.
     """
-    rows = counted(docs.select(F.coalesce(lang, F.lit("")).alias("_lang"), text.alias("_text")), F.col("_text"))
-    rows = rows.filter(F.size("_words") >= limits.min_words)
-    classes = rows.groupBy("_lang").agg(
-        F.array(*[F.sum(F.col(f"_counts.{c}")) for c in CLASSES]).alias("class_sums"),
-        F.sum(F.size("_words")).alias("n"),
+    rows = docs.select(F.coalesce(lang, F.lit("")).alias("_lang"), text.alias("_text"))
+    classes = counted(rows, F.col("_text")).groupBy("_lang").agg(
+        F.array(*[F.sum(F.col(f"_counts.{c}")) for c in CLASSES]).alias("class_sums")
     )
     by_word = (
-        rows.select("_lang", F.explode("_words").alias("word"))
+        rows.select("_lang", F.explode(words(F.col("_text"))).alias("word"))
         .groupBy("_lang", F.lower("word").alias("word"))
         .agg(F.count(F.lit(1)).alias("times"))
     )
@@ -117,15 +118,18 @@ def language_references(docs: DataFrame, lang: Column, text: Column, limits: Lim
         .groupBy("_lang")
         .agg(F.sort_array(F.collect_list(F.struct("rank", "word", "times"))).alias("top"))
     )
+    totals = by_word.groupBy("_lang").agg(F.sum("times").alias("n"))
     total = F.aggregate("class_sums", F.lit(0).cast("long"), lambda a, x: a + x)
     known = F.aggregate("top", F.lit(0).cast("long"), lambda a, x: a + x["times"])
     return (
         classes.join(top, "_lang")
+        .join(totals, "_lang")
         .filter(F.col("n") >= limits.min_reference_words)
         .select(
             "_lang",
             F.transform("class_sums", lambda x: x / total).alias("class_shares"),
             F.transform("top", lambda x: x["word"]).alias("common"),
+            F.array_max(F.transform("top", lambda x: F.octet_length(x["word"]))).alias("longest"),
             F.concat(
                 F.array((F.col("n") - known) / F.col("n")),
                 F.transform("top", lambda x: x["times"] / F.col("n")),
@@ -153,7 +157,8 @@ def judged(docs: DataFrame, lang: Column, text: Column, limits: Limits) -> DataF
     references = materialise(language_references(docs, lang, text, limits), "language_references")
     df = docs.withColumns({"_lang": F.coalesce(lang, F.lit("")), "_body": F.coalesce(text, F.lit(""))})
     df = df.join(references, "_lang", "left")
-    df = _repeat_positions(counted(df, F.col("_body")))
+    df = counted(df, F.col("_body")).withColumn("_words", words(F.col("_body")))
+    df = _repeat_positions(df)
     lines = F.filter(F.split("_body", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     reach = F.transform(
         "_repeats", lambda p, i: F.least(F.lit(3), F.coalesce(F.get("_repeats", i + 1) - p, F.lit(3)))
@@ -164,16 +169,22 @@ def judged(docs: DataFrame, lang: Column, text: Column, limits: Limits) -> DataF
             "_again": F.aggregate(reach, F.lit(0).cast("long"), lambda a, x: a + x),
             "_n": F.size("_words").cast("long"),
             "_chars": F.char_length("_body").cast("long"),
-            "_codes": F.sort_array(
-                F.transform("_words", lambda w: F.array_position("common", F.lower(w)).cast("int"))
-            ),
+            "_codes": F.transform("_words", lambda w: F.lower(w)),
         }
     ).drop("_words", "_repeats", "_body")
+    # most words are longer than any common one, and need no search
+    code = F.transform(
+        "_codes",
+        lambda w: F.when(F.octet_length(w) <= F.col("longest"), F.array_position("common", w).cast("int"))
+        .otherwise(0),
+    )
+    df = df.withColumn("_codes", F.sort_array(F.array_remove(code, 0)))
     ends = F.filter(
         F.sequence(F.lit(0), F.size("_codes") - 1),
         lambda i: ~F.get("_codes", i).eqNullSafe(F.get("_codes", i + 1)),
     )
     df = df.withColumn("_ends", F.when(F.size("_codes") > 0, ends).otherwise(F.array().cast("array<int>")))
+    others = F.struct(F.lit(0).alias("i"), (F.col("_n") - F.size("_codes")).cast("int").alias("c"))
     present = F.transform(
         "_ends",
         lambda e, j: F.struct(
@@ -185,7 +196,10 @@ def judged(docs: DataFrame, lang: Column, text: Column, limits: Limits) -> DataF
         *[F.struct(F.lit(i).alias("i"), F.col(f"_counts.{c}").alias("c")) for i, c in enumerate(CLASSES)]
     )
     df = df.withColumns(
-        {"_present": present, "_classes": F.filter(classes, lambda x: x["c"] > 0)}
+        {
+            "_present": F.filter(F.concat(F.array(others), present), lambda x: x["c"] > 0),
+            "_classes": F.filter(classes, lambda x: x["c"] > 0),
+        }
     ).drop("_codes", "_ends")
     enough = F.col("common").isNotNull() & (F.col("_n") >= limits.min_words)
     failed = (F.col("_n") < 50) | (100 * F.col("_again") > 50 * F.col("_n"))
@@ -208,7 +222,10 @@ def judged(docs: DataFrame, lang: Column, text: Column, limits: Limits) -> DataF
         F.col("_by_class").alias("class_distance"),
         F.col("_by_word").alias("word_distance"),
     )
-    return df.select(*[c for c in docs.columns], result.alias("_q"))
+    # A filter on the verdict must not be pushed below, where it would spell out every step many
+    # times over; it stays above a column that is not deterministic.
+    df = df.withColumns({"_q": result, "_mark": F.monotonically_increasing_id()})
+    return df.select(*docs.columns, F.when(F.col("_mark") >= 0, F.col("_q")).alias("_q"))
 
 
 def quality_rules(
