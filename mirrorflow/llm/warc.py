@@ -83,11 +83,13 @@ def record(page_id, url, text, digest: str, kind: str, refers_to, date: str) ->
 
 
 def build_dictionary(records: list[bytes]) -> zstandard.ZstdCompressionDict:
-    """A dictionary trained on records; their own first bytes if there are too few to train on."""
+    """A dictionary trained on records, of a sixteenth of their size at most; their own first bytes
+    if there are too few to train on."""
+    size = max(1024, min(DICTIONARY_BYTES, sum(map(len, records)) // 16))
     try:
-        return zstandard.train_dictionary(DICTIONARY_BYTES, records, k=256, d=8)
+        return zstandard.train_dictionary(size, records, k=256, d=8)
     except zstandard.ZstdError:
-        start = b"".join(records)[:DICTIONARY_BYTES]
+        start = b"".join(records)[:size]
         return zstandard.ZstdCompressionDict(start or b"\0" * 8, zstandard.DICT_TYPE_RAWCONTENT)
 
 
