@@ -304,6 +304,6 @@ WITH RECURSIVE v AS (
 ), m AS (
   SELECT id, min(c) AS c FROM r GROUP BY id
 ), n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
-SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(c, vec_id) AS component_id, coalesce(c, vec_id) = vec_id AS kept
-FROM embeddings LEFT JOIN n ON a = vec_id LEFT JOIN m ON id = vec_id
+SELECT t.vec_id, coalesce(n.n, 0) AS n_links, coalesce(m.c, t.vec_id) AS component_id, coalesce(m.c, t.vec_id) = t.vec_id AS kept
+FROM embeddings t LEFT JOIN n ON n.a = t.vec_id LEFT JOIN m ON m.id = t.vec_id
 """
