@@ -1,8 +1,8 @@
 """Time the headline queries; prints one JSON line.
 
 BENCH_SF_DIR names the input folder (default sf0.1), BENCH_CPUS the local threads (default 8).
-``derive`` is the time to build the flow and lookup tables from the driver's tables; every query
-after it starts from those. Each query is run once, in full.
+``derive`` is the time to build the flow and lookup tables from the driver's tables;
+``training_table`` and ``imputed_table`` are the tables that several queries start from. Each query is run once, in full.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ HEADLINE = (
     "q33_mirror_output",
     "q38_ppml",
     "q42_coefficient_table",
+    "q53_fit_store_impute",
     "q43_page_elements",
     "q44_page_tables",
 )
@@ -49,12 +50,15 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
 
     from catalogue.derive import fixture
-    from catalogue.queries import QUERIES
+    from catalogue.queries import QUERIES, imputed, training_table
+    from mirrorflow.sources.scratch import clear_scratch
 
     times: dict[str, float] = {}
-    start = time.perf_counter()
-    fixture(spark, sf_dir)
-    times["derive"] = round(time.perf_counter() - start, 3)
+    shared = {"derive": fixture, "training_table": training_table, "imputed_table": imputed}
+    for name, build in shared.items():
+        start = time.perf_counter()
+        build(spark, sf_dir) if name == "derive" else build(fixture(spark, sf_dir))
+        times[name] = round(time.perf_counter() - start, 3)
     for name in HEADLINE:
         start = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
@@ -70,6 +74,7 @@ def main() -> None:
             }
         )
     )
+    clear_scratch(spark)
     spark.stop()
 
 

@@ -369,5 +369,7 @@ def sql(query: str, extra: dict[str, str] | None = None) -> str:
     parts = [
         f"{n} AS {'MATERIALIZED ' if n in MATERIALIZED else ''}(\n{CTES[n].strip()}\n)" for n in blocks
     ]
-    parts += [f"{n} AS (\n{b.strip()}\n)" for n, b in extra.items()]
+    for n, b in extra.items():
+        kind = "MATERIALIZED " if n.startswith("mz_") or n.removesuffix("_m") in MATERIALIZED else ""
+        parts.append(f"{n} AS {kind}(\n{b.strip()}\n)")
     return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + query.strip()

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalogue import model as M
+from catalogue import model_sql
 from catalogue import oracles as O
 from catalogue.derive import CUTOVER_YEAR, SPECIAL_REPORTERS, Fixture, fixture, iso, table
 from mirrorflow.functions import codes
@@ -834,3 +836,178 @@ def model_analysis(fx, spark, sf_dir):
     fit, _, used = ols.fit_trimmed(rows, Y, training.REGRESSORS, W, training.GROUP)
     poisson = ppml.fit_ppml(rows, PPML_Y, training.REGRESSORS, training.GROUP)
     return rounded(analysis.model_analysis(used, rows, fit, poisson))
+
+
+# --- the whole model --------------------------------------------------------------------------
+
+MODEL_ROWS = (
+    "SELECT "
+    + ", ".join(f"CAST({x} AS DOUBLE) AS x{j}" for j, x in enumerate(training.REGRESSORS, 1))
+    + f", {Y} AS y, {W} AS w, year FROM training"
+)
+
+
+@register(
+    "q51_model_rounds",
+    " UNION ALL ".join(model_sql.coefficient_sql(t, training.REGRESSORS, f"_{t}") for t in range(4)),
+    {"mz_d0": MODEL_ROWS, **{k: v for k, v in model_sql.trimmed_blocks("mz_d0", 6, 3).items() if k != "mz_d4"}},
+)
+def model_rounds(fx, spark, sf_dir):
+    """The full model at each of the four fits."""
+    rows = ols.complete_rows(training_table(fx), Y, training.REGRESSORS, W, training.GROUP)
+    out, centre = [], None
+    for t in range(4):
+        fit = ols.fit_wls(rows, Y, training.REGRESSORS, W, training.GROUP, centre)
+        for term, b, error in zip(fit.terms, fit.estimate, fit.std_error):
+            level = term.startswith(training.GROUP)
+            out.append((t, term, b, None if level else error, fit.n, fit.r_squared))
+        centre = fit.centre
+        if t < 3:
+            rows = ols.remove_outliers(rows, fit)
+    schema = "fit int, term string, estimate double, std_error double, n bigint, r_squared double"
+    return rounded(spark.createDataFrame(out, schema))
+
+
+@register(
+    "q52_model_outliers",
+    f"""SELECT count(*) AS outliers FROM mz_i_3
+WHERE NOT (r < 2 AND cook < 4.0 / (n - p - 1) AND hat < 2.0 * p / n)""",
+    {"mz_d0": MODEL_ROWS, **{k: v for k, v in model_sql.trimmed_blocks("mz_d0", 6, 3).items() if k != "mz_d4"}},
+)
+def model_outliers(fx, spark, sf_dir):
+    fit, _ = training.fit_model(training_table(fx))
+    return spark.createDataFrame([(fit.outliers,)], "outliers bigint")
+
+
+YEAR_FIT = {
+    "mz_fy": "SELECT year, sum(w) AS sw, sum(w * x) / sum(w) AS mx, sum(w * y) / sum(w) AS my FROM xyw GROUP BY year",
+    "mz_fs": """SELECT sum(w * (x - mx) * (y - my)) / sum(w * (x - mx) * (x - mx)) AS b
+                FROM xyw JOIN mz_fy USING (year)""",
+    "mz_fa": "SELECT year, my - b * mx AS a, b FROM mz_fy, mz_fs",
+    **model_sql.imputation_blocks(
+        "(SELECT a + b * p.log_dist FROM mz_fa WHERE mz_fa.year = p.year)",
+        "1 + (SELECT a FROM mz_fa WHERE year = (SELECT min(year) FROM mz_fa))",
+    ),
+}
+
+
+@register(
+    "q53_fit_store_impute",
+    f"""SELECT year, flag, count(*) AS n, {O.rnd('sum(trade_value_usd_exp) / 1e6', 'millions', 2)},
+  {O.rnd('sum(trade_value_usd_imp) / 1e6', 'millions_mirror', 2)} FROM harmonised_m GROUP BY year, flag""",
+    YEAR_FIT,
+)
+def fit_store_impute(fx, spark, sf_dir):
+    """From the regression table to the harmonised one by way of a stored model."""
+    path = scratch_path(spark, "model")
+    ols.save_fit(spark, ols.fit_wls(training_table(fx), Y, X, W, training.GROUP), path)
+    out = imputation.impute_flows(fx.flows, fx.lookups, ols.load_model(spark, path), CUTOVER_YEAR)
+    totals = out.groupBy("year", "flag").agg(
+        F.count(F.lit(1)).alias("n"),
+        (F.sum("trade_value_usd_exp") / 1e6).alias("millions"),
+        (F.sum("trade_value_usd_imp") / 1e6).alias("millions_mirror"),
+    )
+    return rounded(totals, 2)
+
+
+# --- files ------------------------------------------------------------------------------------
+
+
+@register(
+    "q54_partition_values",
+    """SELECT CAST(year AS VARCHAR) AS year, count(*) AS n FROM flows
+WHERE trade_flow = 'export' GROUP BY year""",
+)
+def partition_values(fx, spark, sf_dir):
+    """Years taken from the names of the directories the rows lie in."""
+    rows = flows.filter_flow(fx.flows, "export").select(
+        codes.strip_partition_key(F.regexp_extract(F.input_file_name(), "/(year=[^/]*)/", 1)).alias("year")
+    )
+    return rows.groupBy("year").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("q55_load_or_build", "SELECT hs02, hs12 FROM xwalk_first")
+def load_or_build(fx, spark, sf_dir):
+    """Built at the first call; the second one has to find the table."""
+    path = scratch_path(spark, "built")
+
+    def never() -> DataFrame:
+        raise AssertionError("the table is there already")
+
+    tables.load_or_build(spark, path, lambda: flows.first_crosswalk(fx.lookups.hs_crosswalk))
+    return tables.load_or_build(spark, path, never)
+
+
+@register(
+    "q56_single_csv",
+    f"""SELECT year, flag, count(*) AS n,
+  {O.rnd('count(*) / CAST(sum(count(*)) OVER (PARTITION BY year) AS DOUBLE)', 'm', 9)}
+FROM harmonised GROUP BY year, flag""",
+)
+def single_csv(fx, spark, sf_dir):
+    path = scratch_path(spark, "summary")
+    tables.write_single_csv(imputation.imputation_summary(harmonised(fx)), path)
+    schema = "year int, flag string, n bigint, m double"
+    read = tables.read_csv_dir(spark, path, schema)
+    if len(read.inputFiles()) != 1:
+        raise AssertionError("the summary is not one file")
+    return rounded(read, 9)
+
+
+@register(
+    "q57_sorted_valuation",
+    """SELECT year, reporter, row_number() OVER (ORDER BY year NULLS FIRST, reporter NULLS FIRST) - 1 AS position
+FROM valuation""",
+)
+def sorted_valuation(fx, spark, sf_dir):
+    """Positions in the sorted lookup table, read in its order."""
+    clean = valuation.clean_valuation(fx.valuation_raw, fx.country_codes)
+    in_order = valuation.sort_valuation(clean).coalesce(1)
+    return in_order.select("year", "reporter", F.monotonically_increasing_id().alias("position"))
+
+
+@register(
+    "q58_backfill_written",
+    f"""SELECT year, count(*) AS n, {O.rnd('sum(trade_value_usd)', 'trade_value_usd', 3)}
+FROM exports GROUP BY year""",
+)
+def backfill_written(fx, spark, sf_dir):
+    """Years written before stay, the missing ones are added by a dynamic overwrite."""
+    path = scratch_path(spark, "backfill")
+    rows = flows.filter_flow(fx.flows, "export")
+    tables.write_by_year(rows.filter(F.col("year") < 1999), path)
+    years = [r["year"] for r in rows.select("year").distinct().collect()]
+    built = tables.backfill(spark, path, years, lambda todo: rows.filter(F.col("year").isin(todo)))
+    if any(y < 1999 for y in built):
+        raise AssertionError("a year that was there has been built again")
+    back = tables.read_by_year(spark, path)
+    totals = back.groupBy("year").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("trade_value_usd").alias("trade_value_usd")
+    )
+    return rounded(totals, 3)
+
+
+@register(
+    "q59_missing_kept",
+    select_sql("kept_missing", f"{KEY_SQL}, qty_unit_exp, qty_unit_imp", O.I_SUMS),
+    {
+        "kept_missing": re.sub(r"coalesce\((sum\([^)]*\)), 0.0\)", r"\1", O.CTES["converted"]),
+    },
+)
+def missing_kept(fx, spark, sf_dir):
+    """Conversion that keeps a side nobody reported missing."""
+    return rounded(
+        imputation.converted_mirror(fx.flows, fx.lookups.hs_crosswalk, CUTOVER_YEAR, missing_as_zero=False)
+    )
+
+
+@register(
+    "q60_ppml_store",
+    f"""SELECT {TRAINING_KEY_SQL}, {O.rnd('ln(m)', 'fitted')} FROM training JOIN (
+  SELECT year, avg(cif_fob_unit_ratio) AS m FROM training GROUP BY year) g USING (year)""",
+)
+def ppml_store(fx, spark, sf_dir):
+    path, rows = scratch_path(spark, "ppml"), training_table(fx)
+    ppml.save_ppml(spark, ppml.fit_ppml(rows, PPML_Y, [], training.GROUP), path)
+    out = ols.predict(rows, ppml.load_ppml(spark, path).model, "fitted")
+    return rounded(out.select(*TRAINING_KEYS, "fitted"))

@@ -57,6 +57,7 @@ def difference(df: DataFrame, con: duckdb.DuckDBPyConnection, text: str) -> str
 
 def main() -> int:
     import __spark_entry__ as E
+    from mirrorflow.sources.scratch import clear_scratch
 
     sf_dir, wanted = sys.argv[1], sys.argv[2:]
     spark = (
@@ -86,6 +87,7 @@ def main() -> int:
             problem = note = f"{type(e).__name__}: {str(e)[:600]}"
         bad += problem is not None
         print(f"{name:28s} {time.time() - start:6.2f}s  {note}", flush=True)
+    clear_scratch(spark)
     print(f"{bad} differ")
     return 1 if bad else 0
 
