@@ -650,13 +650,27 @@ def ppml_small(fx, spark, sf_dir):
     )
 
 
+def normal_tail(z: str) -> str:
+    """P(|Z| > |z|) by a rational approximation, good to seven decimals (z is used often)."""
+    # Coefficients of the approximation of the complementary error function.
+    a = (0.254829592, -0.284496736, 1.421413741, -1.453152027, 1.061405429)
+    x = f"(abs({z}) / sqrt(2.0))"
+    t = f"(1 / (1 + 0.3275911 * {x}))"
+    return f"exp(-{x} * {x}) * (" + " + ".join(f"({c}) * pow({t}, {i})" for i, c in enumerate(a, 1)) + ")"
+
+
+# the normal quantile that belongs to a t statistic, for the many degrees of freedom there are here
+Z_OF_F = "sqrt(f) * (1 - (f + 1) / (4 * df2) + (13 * f * f + 8 * f + 3) / (96 * df2 * df2))"
+
+
 @register(
     "q39_reset_ols",
-    f"""SELECT {O.rnd('(rss0 - rss1) / (rss1 / (n - 3))', 'statistic')}, CAST(1.0 AS DOUBLE) AS df1,
+    f"""SELECT {O.rnd('f', 'statistic')}, df1, df2, {O.rnd(normal_tail(f'({Z_OF_F})'), 'p_value', 4)} FROM (
+  SELECT (rss0 - rss1) / (rss1 / (n - 3)) AS f, CAST(1.0 AS DOUBLE) AS df1,
   CAST(n - 3 AS DOUBLE) AS df2 FROM (
   SELECT n, rss0, rss0 - suv * suv / suu AS rss1 FROM (
     SELECT any_value(n) AS n, any_value(syy - sxy * sxy / sxx) AS rss0,
-           sum(u * u) AS suu, sum(u * (y - my - b * (x - mx))) AS suv FROM v) t) s""",
+           sum(u * u) AS suu, sum(u * (y - my - b * (x - mx))) AS suv FROM v) t) s) o""",
     {
         "d": "SELECT x, y, CAST(1.0 AS DOUBLE) AS w FROM xyw",
         "m": moments("d"),
@@ -669,19 +683,22 @@ def ppml_small(fx, spark, sf_dir):
 def reset_ols(fx, spark, sf_dir):
     rows = training_table(fx)
     test = ols.reset_test(rows, ols.fit_wls(rows, Y, X, W))
-    out = [(test["statistic"], test["df1"], test["df2"])]
-    return rounded(spark.createDataFrame(out, "statistic double, df1 double, df2 double"))
+    schema = "statistic double, df1 double, df2 double, p_value double"
+    out = spark.createDataFrame([tuple(test[c.split()[0]] for c in schema.split(", "))], schema)
+    return out.withColumns({c: nudged(F.col(c), 4 if c == "p_value" else 6) for c in out.columns})
 
 
 @register(
     "q40_reset_ppml",
-    f"""SELECT {O.rnd('c / sqrt(pearson / (n - 3) * vc)', 'statistic', 4)} FROM b{NEWTON_STEPS}, q""",
+    f"""SELECT {O.rnd('z', 'statistic', 4)}, {O.rnd(normal_tail('z'), 'p_value', 4)}
+FROM (SELECT c / sqrt(pearson / (n - 3) * vc) AS z FROM b{NEWTON_STEPS}, q) t""",
     {"xy": "SELECT log_dist AS x, cif_fob_unit_ratio AS y FROM training", **newton("xy", True)},
 )
 def reset_ppml(fx, spark, sf_dir):
     rows = training_table(fx)
     test = ppml.reset_ppml(rows, ppml.fit_ppml(rows, PPML_Y, X))
-    return rounded(spark.createDataFrame([(test["statistic"],)], "statistic double"), 4)
+    out = [(test["statistic"], test["p_value"])]
+    return rounded(spark.createDataFrame(out, "statistic double, p_value double"), 4)
 
 
 STEEP = f"{M.STEEP_INTERCEPT!r} + ({M.STEEP_SLOPE!r}) * log_dist"

@@ -67,10 +67,11 @@ def main() -> int:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.checkpoint.dir", os.environ.get("SCRATCH_DIR") or tempfile.mkdtemp(prefix="mirrorflow-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="mirrorflow-"))
     con, oracles, bad = duck(sf_dir), E.oracle_sql(), 0
     for name, query in E.queries().items():
         if wanted and not any(name.startswith(w) for w in wanted):
