@@ -45,7 +45,9 @@ def test_stages_on_awkward_documents(spark, tmp_path):
     assert {r[0] for r in good} | {2000, 2001, 2002} <= kept and not kept & {2003, 2004, 2005}
     # one document of each group stays
     want = brute_force([(r.doc_id, r.text) for r in seen["quality_rules"]], 80)
-    assert sorted(map(str, ids("near_duplicates"))) == sorted(str(r[0]) for r in want if r[3])
+    once = {r[0] for r in want if r[3] and r[0] is not None}
+    nameless = [r[0] for r in want if r[0] is None]
+    assert sorted(map(str, ids("near_duplicates"))) == sorted(map(str, [*once, *nameless]))
     assert not {2000, 2001} & set(ids("near_duplicates"))
     text = {r.doc_id: r for r in seen["personal_data"]}
     assert sorted(map(str, text)) == sorted(map(str, set(ids("near_duplicates"))))
@@ -53,7 +55,7 @@ def test_stages_on_awkward_documents(spark, tmp_path):
     assert all(r.n_chars == len(r.text) for r in seen["personal_data"])
     assert all(text[r[0]].text == r[1] for r in good if r[0] in text)
     mixed = ids("mix_sources")
-    assert set(mixed) == set(text) and max(mixed.count(i) for i in set(mixed)) <= 3
+    assert set(mixed) == set(text) and max(mixed.count(i) for i in set(mixed)) <= 2
     whole = encoding(RANKS, P.PATTERN)
     assert sorted(map(str, ids("token_ids"))) == sorted(map(str, mixed))
     for r in seen["token_ids"]:
