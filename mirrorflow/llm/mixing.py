@@ -21,7 +21,6 @@ from mirrorflow.llm.text import words
 from mirrorflow.sources.scratch import materialise
 
 HALVINGS, ROUNDS = 5, 6
-BUCKET_ROWS = 50_000
 
 
 @dataclass(frozen=True)
@@ -95,6 +94,8 @@ def fit_exponent(totals: DataFrame, mix: Mix) -> float:
 def source_quotas(rows: DataFrame, mix: Mix) -> DataFrame:
     """Per source ``tokens``, ``rows``, ``weight``, ``quota`` and the ``buckets`` of its order.
 
+    There are about as many buckets as rows in one, so that neither level outgrows the other.
+
     Without a budget every quota is at least the tokens of the source. Sources without tokens have
     weight and quota 0.
     """
@@ -117,7 +118,7 @@ def source_quotas(rows: DataFrame, mix: Mix) -> DataFrame:
         quota = F.floor(F.col("weight") * F.lit(float(mix.budget)) + 0.5)
     quotas = quotas.withColumn("quota", F.when(F.col("tokens") > 0, quota).otherwise(0).cast("long"))
     return materialise(
-        quotas.withColumn("buckets", F.ceil(F.col("rows") / BUCKET_ROWS).cast("long")), "source_quotas"
+        quotas.withColumn("buckets", F.ceil(F.sqrt("rows")).cast("long")), "source_quotas"
     )
 
 
