@@ -35,11 +35,11 @@ WITH d AS (
   WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r
 ), ref_n AS (
   SELECT lang, CAST(sum(n) AS BIGINT) AS total, [sum(cs[1]), sum(cs[2]), sum(cs[3]), sum(cs[4]), sum(cs[5]), sum(cs[6]), sum(cs[7])] AS sums
-  FROM f GROUP BY lang HAVING sum(n) >= 1000
+  FROM f WHERE n >= 50 GROUP BY lang HAVING sum(n) >= 1000
 ), ref_w AS (
   SELECT *, row_number() OVER (PARTITION BY lang ORDER BY times DESC, word) AS rank
-  FROM (SELECT lang, lower(word) AS word, count(*) AS times FROM e GROUP BY ALL)
-  QUALIFY rank <= 16
+  FROM (SELECT lang, lower(word) AS word, count(*) AS times FROM e WHERE n >= 50 GROUP BY ALL)
+  QUALIFY rank <= 32
 ), share AS (
   SELECT lang, rank, word, times / total AS q FROM ref_w JOIN ref_n USING (lang)
   UNION ALL

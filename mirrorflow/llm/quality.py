@@ -23,7 +23,7 @@ CLASSES = ("lower", "space", "upper", "digit", "punct", "symbol", "other")
 class Limits:
     """Production parameters; distances lie between 0 and 1."""
 
-    common_words: int = 16
+    common_words: int = 32
     min_words: int = 50
     min_reference_words: int = 1000
     max_class_distance: float = 0.28
@@ -98,11 +98,14 @@ def counted(df: DataFrame, text: Column) -> DataFrame:
 def language_references(docs: DataFrame, lang: Column, text: Column, limits: Limits) -> DataFrame:
     """Per language the shares of character classes and of its most common lower-cased words.
 
-    Taken over all documents. ``common`` is ordered by count, ties by spelling; the first entry of
-    ``word_shares`` is the share of all other words. A null language is the language ''. Languages
-    with fewer than ``min_reference_words`` words are left out.
+    Taken over all documents of ``min_words`` words or more. ``common`` is ordered by count, ties by
+    spelling; the first entry of ``word_shares`` is the share of all other words. A null language
+    is the language ''. Languages with fewer than ``min_reference_words`` words are left out.
     """
     rows = docs.select(F.coalesce(lang, F.lit("")).alias("_lang"), text.alias("_text"))
+    # split no further than needed to tell whether there are so many words
+    first = F.array_remove(F.split("_text", SPACE, limits.min_words + 1), "")
+    rows = rows.filter(F.size(first) >= limits.min_words)
     classes = counted(rows, F.col("_text")).groupBy("_lang").agg(
         F.array(*[F.sum(F.col(f"_counts.{c}")) for c in CLASSES]).alias("class_sums")
     )

@@ -181,6 +181,20 @@ def test_clean_documents_keep_their_columns(spark):
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == ids and ids
 
 
+def test_references_of_long_documents(spark):
+    """Two and thirty words of documents of 50 words or more; ranks 17 to 32 decide on a verdict."""
+    rnd = random.Random(3)
+    rows = [(i, " ".join(rnd.sample([f"w{j}" for j in range(10, 50)] * 2, 80)), "en") for i in range(40)]
+    rows += [(100 + i, " y99" * 49 + "\n", "en") for i in range(100)]
+    rows += [(200, " ".join(f"x{j}" for j in range(10, 70)), "en"), (201, "  " + "z10 " * 50, "en"), (202, "z10 " * 50, "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    common = quality.language_references(df, F.col("lang"), F.col("text"), quality.Limits()).first().common
+    assert len(common) == 32 and "y99" not in common and "z10" in common
+    out = {r.doc_id: r for r in quality.quality_rules(df).collect()}
+    assert all(out[i].kept for i in range(40))
+    assert not out[200].base_failed and not out[200].kept and out[200].class_distance < 0.1
+
+
 # --- mixing -----------------------------------------------------------------------------------
 
 
