@@ -3,6 +3,8 @@
 Everything is an expression on one row. A text is split at the matches of a kind, so the places of
 all matches follow from the lengths of the pieces, in one pass, whatever their number. Patterns start
 only where a match can start and give nothing back, which keeps them linear in the length of a text.
+Account numbers are proposed from every place where one can start, since what looks like one may
+reach into the next; the text is then split at those whose checksum holds.
 """
 
 from __future__ import annotations
@@ -23,6 +25,13 @@ IBAN_LENGTHS = {
     "SE": 24, "SI": 19, "SK": 24,
 }
 
+# An account number stands alone and has the length of its country, spaces not counted.
+ALONE = "[0-9A-Za-z-]"
+IBAN = "|".join(
+    rf"(?:{'|'.join(c for c, n in IBAN_LENGTHS.items() if n == length)})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{length - 4}}}"
+    for length in sorted(set(IBAN_LENGTHS.values()))
+)
+
 IP_PART = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 BEFORE, AFTER = 40, 20
 KEEP_SCORE = 0.5
@@ -67,7 +76,11 @@ def _phone(match: Column) -> Column:
 
 @dataclass(frozen=True)
 class Kind:
-    """``score`` counts without context; ``base`` kinds are reported whatever their score."""
+    """``score`` counts without context; ``base`` kinds are reported whatever their score.
+
+    The first group of an ``everywhere`` pattern is looked for from each place, also inside others;
+    of the valid ones that overlap the first is taken.
+    """
 
     name: str
     pattern: str
@@ -76,6 +89,7 @@ class Kind:
     context: str
     base: bool = True
     needs: str | None = None
+    everywhere: bool = False
 
 
 KINDS = (
@@ -92,8 +106,8 @@ KINDS = (
     ),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", _phone, 0.6, "phone|tel|call|mobile|fax", needs="+"),
     Kind(
-        "iban", rf"(?:{'|'.join(IBAN_LENGTHS)})[0-9]{{2}}(?:\x20?[A-Z0-9]){{11,30}}",
-        _mod_97, 0.7, "iban|account|bank|konto|cuenta|compte", base=False,
+        "iban", rf"(?<!{ALONE})(?=[A-Z]{{2}}[0-9]{{2}})(?=((?:{IBAN})(?!{ALONE})))",
+        _mod_97, 0.7, "iban|account|bank|konto|cuenta|compte", base=False, everywhere=True,
     ),
     Kind(
         "ssn", r"[0-9]{3}-[0-9]{2}-[0-9]{4}", _ok, 0.3, "ssn|social security|tax id", base=False, needs="-",
@@ -103,13 +117,25 @@ KINDS = (
 
 def _pieces(df: DataFrame, kind: Kind, text: str) -> DataFrame:
     """Adds the matches of a kind, the pieces between them and whether each match holds."""
-    m, g, c, k = (f"_{x}_{kind.name}" for x in "mgck")
+    m, g, c, k, p = (f"_{x}_{kind.name}" for x in "mgckp")
     none = F.array().cast("array<string>")
-    found = F.regexp_extract_all(F.col(text), F.lit(kind.pattern), F.lit(0))
+    pattern = F.lit(kind.pattern)
+    found = F.regexp_extract_all(F.col(text), pattern, F.lit(0))
+    if kind.everywhere:
+        held = F.filter(F.regexp_extract_all(F.col(text), pattern, F.lit(1)), kind.valid)
+        df = df.withColumn(m, F.array_distinct(held))
+        spelled = F.concat(
+            F.lit(f"(?<!{ALONE})(?=[A-Z]{{2}}[0-9]{{2}})(?:"), F.array_join(m, "|"), F.lit(f")(?!{ALONE})")
+        )
+        df = df.withColumn(p, F.when(F.size(m) > 0, spelled))
+        pattern = F.col(p)
+        found = F.when(F.size(m) > 0, F.regexp_extract_all(F.col(text), pattern, F.lit(0))).otherwise(none)
     if kind.needs:
         found = F.when(F.contains(F.col(text), F.lit(kind.needs)), found).otherwise(none)
     df = df.withColumn(m, found)
-    df = df.withColumn(g, F.when(F.size(m) > 0, F.split(F.col(text), kind.pattern)).otherwise(none))
+    df = df.withColumn(g, F.when(F.size(m) > 0, F.split(F.col(text), pattern)).otherwise(none))
+    if kind.everywhere:
+        df = df.drop(p)
 
     def context(i: Column) -> Column:
         before, after = F.get(g, i), F.get(g, i + 1)
@@ -122,7 +148,7 @@ def _pieces(df: DataFrame, kind: Kind, text: str) -> DataFrame:
         good = kind.valid(x)
         if kind.base:
             return good
-        alone = ~F.get(g, i).rlike("[0-9A-Za-z-]$") & ~F.get(g, i + 1).rlike("^[0-9A-Za-z-]")
+        alone = ~F.get(g, i).rlike(f"{ALONE}$") & ~F.get(g, i + 1).rlike(f"^{ALONE}")
         return good & alone & (context(i) >= KEEP_SCORE)
 
     df = df.withColumn(c, F.transform(m, lambda x, i: F.least(F.lit(1.0), context(i))))

@@ -160,6 +160,44 @@ def test_context_raises_the_score(spark):
     assert score[1] > score[2]
 
 
+def ibans(text):
+    """Places of account numbers, tried from each place by plain Python."""
+    found, at = [], 0
+    while at < len(text):
+        length, end, plain = pii.IBAN_LENGTHS.get(text[at : at + 2], 0), at, ""
+        while len(plain) < length and re.match(" ?[A-Z0-9]", text[end:]):
+            end += 1 + (text[end] == " ")
+            plain += text[end - 1]
+        whole = length and len(plain) == length and plain[:4] == text[at : at + 4] and plain[2:4].isdigit()
+        alone = not re.search("[0-9A-Za-z-]$", text[:at]) and not re.match("[0-9A-Za-z-]", text[end:])
+        if whole and alone and int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1:
+            found.append((at, end))
+            at = end
+        else:
+            at += 1
+    return found
+
+
+def test_account_numbers_next_to_capitals_and_digits(spark):
+    de, gb = "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432"
+    known = {
+        f"{de} BIC COBADEFFXXX": "<IBAN> BIC COBADEFFXXX",
+        f"{gb} Please": "<IBAN> Please",
+        f"{de} 2024 due, {gb} 2024": "<IBAN> 2024 due, <IBAN> 2024",
+        f"REF AT12 {de} {gb} {de}": "REF AT12 <IBAN> <IBAN> <IBAN>",
+        f"NO12 3456 BE11 {gb}X {de}-1 {gb}": f"NO12 3456 BE11 {gb}X {de}-1 <IBAN>",
+        f"{de[:-1]}1 BIC": f"{de[:-1]}1 BIC",
+    }
+    rnd = random.Random(5)
+    parts = [de, gb, gb, "NO9386011117947", "MT84 MALT 0110 0001 2345 MTLC AST0 01S", "AT12", "DE89", "BIC", "7", "Za", "-", "\U0001f600"]
+    texts = list(known) + ["".join(rnd.choice(parts) + rnd.choice(["", " ", " ", "  "]) for _ in range(30)) for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in pii.find_personal_data(df).collect():
+        assert [(s.start, s.end) for s in r.spans if s.kind == "iban"] == ibans(texts[r.doc_id])
+    got = {r.doc_id: r.text for r in pii.redact(df).collect()}
+    assert [got[i] for i in range(len(known))] == list(known.values())
+
+
 # --- quality ----------------------------------------------------------------------------------
 
 
