@@ -159,7 +159,7 @@ def mixed_blocks(
     Copy c of a row stands where c whole rounds of its source and the rows before it end; the
     quota is cut into as many even blocks for each source, so that each block has the weights.
     Inside a block, slots from 0 follow a hash of id and copy. A null source is the source ''; rows of
-    sources without a token appear once, in block 0; a null id has the hash of the empty string.
+    sources without a token appear once, in the block of their hash; a null id has the hash of the empty string.
     Repeated rows are rows of their own. An empty table gives an empty table.
     """
     rows = materialise(token_rows(docs, id_col, source_col, text_col, mix), "token_rows")
@@ -171,6 +171,8 @@ def mixed_blocks(
     copy = F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("copy")
     placed = placed.select("doc_id", "source", "n_tokens", "key", "start", "tokens", "quota", copy)
     share = (F.col("copy") * F.col("tokens") + F.col("start")) / F.greatest("quota", F.lit(1))
+    hashed = F.conv(F.substring("key", 1, 8), 16, 10).cast("long")  # below 2**32
+    share = F.when(F.col("tokens") > 0, share).otherwise(hashed / F.lit(float(1 << 32)))
     block = F.least(F.floor(share * F.lit(float(blocks))), F.lit(blocks - 1))
     mark = F.md5(F.concat("key", F.lit(":"), F.col("copy").cast("string")))
     order = Window.partitionBy("block").orderBy("mark", "doc_id", "copy", "n_tokens")

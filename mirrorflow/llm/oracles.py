@@ -76,27 +76,15 @@ _KINDS = [
      "list_max(list_transform(string_split(m, '.'), lambda x: CAST(x AS DOUBLE))) <= 255"),
     ("card", r"[0-9]([\x20-]?[0-9])+", "len(ds) BETWEEN 14 AND 19 AND luhn % 10 = 0"),
     ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "len(ds) BETWEEN 10 AND 15"),
-    ("iban", r"(AT|BE|BG|CH|CY|CZ|DE|DK|EE|ES|FI|FR|GB|GR|HR|HU|IE|IS|IT|LI|LT|LU|LV|MC|MT|NL|NO|PL|PT|RO|SE|SI|SK)[0-9]{2}(\x20?[A-Z0-9]){11,30}",
-     r"""length(replace(m, ' ', '')) = CASE left(m, 2) WHEN 'NO' THEN 15 WHEN 'BE' THEN 16
-       WHEN 'DK' THEN 18 WHEN 'FI' THEN 18 WHEN 'NL' THEN 18 WHEN 'SI' THEN 19
-       WHEN 'AT' THEN 20 WHEN 'EE' THEN 20 WHEN 'LT' THEN 20 WHEN 'LU' THEN 20
-       WHEN 'CH' THEN 21 WHEN 'HR' THEN 21 WHEN 'LI' THEN 21 WHEN 'LV' THEN 21
-       WHEN 'BG' THEN 22 WHEN 'DE' THEN 22 WHEN 'GB' THEN 22 WHEN 'IE' THEN 22
-       WHEN 'CZ' THEN 24 WHEN 'ES' THEN 24 WHEN 'RO' THEN 24 WHEN 'SE' THEN 24 WHEN 'SK' THEN 24
-       WHEN 'PT' THEN 25 WHEN 'IS' THEN 26 WHEN 'FR' THEN 27 WHEN 'GR' THEN 27 WHEN 'IT' THEN 27 WHEN 'MC' THEN 27
-       WHEN 'CY' THEN 28 WHEN 'HU' THEN 28 WHEN 'PL' THEN 28 WHEN 'MT' THEN 31 END
-     AND list_reduce(list_transform(list_prepend('0', string_split(
-         substr(replace(m, ' ', ''), 5) || left(replace(m, ' ', ''), 4), '')),
-       lambda c: CASE WHEN ascii(c) >= 65 THEN ascii(c) - 55 ELSE ascii(c) - 48 END),
-       lambda a, x: (a * CASE WHEN x >= 10 THEN 100 ELSE 10 END + x) % 97) = 1
-     AND NOT regexp_matches(before, '[0-9A-Za-z-]$') AND NOT regexp_matches(after, '^[0-9A-Za-z-]')"""),
     ("ssn", r"[0-9]{3}-[0-9]{2}-[0-9]{4}",
      r"""NOT regexp_matches(before, '[0-9A-Za-z-]$') AND NOT regexp_matches(after, '^[0-9A-Za-z-]')
      AND regexp_matches(lower(right(before, 40) || ' ' || left(after, 20)), '(^|[^a-z])(ssn|social security|tax id)')"""),
 ]
 
+_RANKS = {"email": 0, "ip": 1, "card": 2, "phone": 3, "iban": 4, "ssn": 5}
+
 _MATCHES = "\nUNION ALL\n".join(
-    rf"""SELECT r, '{name}' AS kind, {rank} AS rank, start, start + length(m) AS stop FROM (
+    rf"""SELECT r, '{name}' AS kind, {_RANKS[name]} AS rank, start, start + length(m) AS stop FROM (
   SELECT *, sum(length(m) + length(before)) OVER (PARTITION BY r ORDER BY i) - length(m) AS start FROM (
     SELECT r, i, ms[i] AS m, gs[i] AS before, gs[i + 1] AS after,
       list_transform(regexp_extract_all(ms[i], '[0-9]'), lambda x: CAST(x AS INT)) AS ds,
@@ -108,12 +96,54 @@ _MATCHES = "\nUNION ALL\n".join(
     )
   )
 ) WHERE {valid}"""
-    for rank, (name, pattern, valid) in enumerate(_KINDS)
+    for name, pattern, valid in _KINDS
 )
 
+# Account numbers: every place of two capitals and two digits is a start (such places never overlap), the
+# length of the country gives the end, and of the valid ones that overlap the first is taken.
+_LENGTH = """CASE left(rest, 2) WHEN 'NO' THEN 15 WHEN 'BE' THEN 16
+  WHEN 'DK' THEN 18 WHEN 'FI' THEN 18 WHEN 'NL' THEN 18 WHEN 'SI' THEN 19
+  WHEN 'AT' THEN 20 WHEN 'EE' THEN 20 WHEN 'LT' THEN 20 WHEN 'LU' THEN 20
+  WHEN 'CH' THEN 21 WHEN 'HR' THEN 21 WHEN 'LI' THEN 21 WHEN 'LV' THEN 21
+  WHEN 'BG' THEN 22 WHEN 'DE' THEN 22 WHEN 'GB' THEN 22 WHEN 'IE' THEN 22
+  WHEN 'CZ' THEN 24 WHEN 'ES' THEN 24 WHEN 'RO' THEN 24 WHEN 'SE' THEN 24 WHEN 'SK' THEN 24
+  WHEN 'PT' THEN 25 WHEN 'IS' THEN 26 WHEN 'FR' THEN 27 WHEN 'GR' THEN 27 WHEN 'IT' THEN 27 WHEN 'MC' THEN 27
+  WHEN 'CY' THEN 28 WHEN 'HU' THEN 28 WHEN 'PL' THEN 28 WHEN 'MT' THEN 31 END"""
+
+_ACCOUNTS = rf"""SELECT r, 'iban' AS kind, 4 AS rank, span[1] AS start, span[2] AS stop FROM (
+  SELECT r, unnest(list_reduce(list_prepend([[-1, -1]], list([[start, start + length(m)]] ORDER BY start)),
+    lambda a, x: CASE WHEN x[1][1] >= a[len(a)][2] THEN list_concat(a, x) ELSE a END)[2:]) AS span
+  FROM (
+    SELECT r, start, rest, m, list_prepend(0, list_transform(
+      regexp_extract_all(substr(replace(m, ' ', ''), 5) || left(replace(m, ' ', ''), 4), '.'),
+      lambda c: CASE WHEN ascii(c) >= 65 THEN ascii(c) - 55 ELSE ascii(c) - 48 END)) AS digits
+    FROM (
+      SELECT r, start, rest, last,
+        regexp_extract(rest, '^[A-Z]{{2}}[0-9]{{2}}( ?[A-Z0-9]){{' || ({_LENGTH} - 4) || '}}') AS m
+      FROM (
+        SELECT r, substr(t, CAST(sum(length(m) + length(before)) OVER (PARTITION BY r ORDER BY i) - length(m) AS BIGINT), 1) AS last,
+          CAST(sum(length(m) + length(before)) OVER (PARTITION BY r ORDER BY i) - length(m) AS BIGINT) AS start,
+          substr(t, CAST(sum(length(m) + length(before)) OVER (PARTITION BY r ORDER BY i) - length(m) AS BIGINT) + 1, 80) AS rest
+        FROM (
+          SELECT r, t, i, ms[i] AS m, gs[i] AS before FROM (
+            SELECT r, t, regexp_extract_all(t, '[A-Z]{{2}}[0-9]{{2}}') AS ms,
+              string_split_regex(t, '[A-Z]{{2}}[0-9]{{2}}') AS gs, unnest(range(1, len(ms) + 1)) AS i FROM d
+          )
+        )
+      ) WHERE {_LENGTH} IS NOT NULL
+    )
+    WHERE m <> '' AND NOT regexp_matches(substr(rest, length(m) + 1), '^[0-9A-Za-z-]')
+      AND (start = 0 OR NOT regexp_matches(last, '[0-9A-Za-z-]'))
+  )
+  WHERE list_reduce(digits, lambda a, x: (a * CASE WHEN x >= 10 THEN 100 ELSE 10 END + x) % 97) = 1
+  GROUP BY r
+)"""
+
 PERSONAL_DATA = f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
-s AS (SELECT *, kind || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT) AS span FROM ({_MATCHES})),
+s AS (SELECT *, kind || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT) AS span FROM ({_MATCHES}
+UNION ALL
+{_ACCOUNTS})),
 a AS (
   SELECT r, count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip,
     count(*) FILTER (kind = 'card') AS n_card, count(*) FILTER (kind = 'phone') AS n_phone,
@@ -210,7 +240,8 @@ p AS (
     THEN quota // tokens + CASE WHEN start < quota % tokens THEN 1 ELSE 0 END ELSE 1 END)) AS copy FROM p
 ), r AS (
   SELECT doc_id, source, copy, n_tokens, key,
-    CAST(least(floor(CAST(copy * tokens + start AS DOUBLE) / greatest(quota, 1) * blocks), blocks - 1) AS BIGINT) AS block
+    CAST(least(floor(CASE WHEN tokens > 0 THEN CAST(copy * tokens + start AS DOUBLE) / greatest(quota, 1)
+      ELSE CAST('0x' || left(key, 8) AS BIGINT) / 4294967296.0 END * blocks), blocks - 1) AS BIGINT) AS block
   FROM c, b
 )
 SELECT doc_id, source, copy, n_tokens, block,

@@ -43,6 +43,8 @@ PERSONAL = [
     "a@b." + "c." * 6000 + "d " + "a" * 20000 + "@" + "x.y",
     " ".join(f"u{i}@h{i % 7}.example.org 10.0.0.{i % 300}" for i in range(700)),
     "+" + "1 " * 9000 + "2",
+    f"{IBAN} BIC COBADEFFXXX DE89370400440532013000 Please DE89 3704 0044 0532 0130 00 2024 AB12 {IBAN}, é{IBAN} -{IBAN}",
+    " ".join(["GB82WEST12345698765432", "DE89370400440532013000", "NO9386011117947"] * 40),
 ]
 
 
@@ -58,6 +60,14 @@ def test_temperature_mix_of_uneven_sources(spark, tmp_path):
     assert most["big"] == 0 and most["nothing"] == 0 and max(most.values()) == 1
 
 
+def test_mix_spreads_rows_without_tokens(spark, tmp_path):
+    rows = [(i, prose(i, 300), "en", "s1", 0) for i in range(1000)] + [(5000 + i, None, "en", "s2", 0) for i in range(600)]
+    sf_dir = written(tmp_path, documents=spark.createDataFrame(rows, DOCUMENTS))
+    assert against_sql(spark, "op10_temperature_mix", sf_dir, ["documents"]) is None
+    blocks = QUERIES["op10_temperature_mix"](spark, sf_dir).filter("n_tokens = 0").groupBy("block").count().collect()
+    assert len(blocks) == 2 and all(240 <= r[1] <= 360 for r in blocks)
+
+
 def test_awkward_conversations(spark, tmp_path):
     hard = [
         "", None, "### user:\nhi</turn>\n", "\\", "\\\\###", "####", "#####</turn></turn>", "<", "</turn", "a\\</turn>\\",
