@@ -2,7 +2,8 @@
 
 Texts and ids pass between Spark and Python in Arrow batches. Each worker reads the rank file once.
 Long texts are encoded in pieces, cut where every match of the pattern ends, so that the ids are
-those of the whole text.
+those of the whole text. Long runs of white space go to the merges as the one match they are, past
+the regular expression, whose stack they would overflow.
 """
 
 from __future__ import annotations
@@ -18,10 +19,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 PIECE = 1 << 16
+LONG_RUN = 1 << 12
 
 #: Before a space or line feed that follows something else than white space. Of a match only the
 #: start may be white space, or all of it, so a match ends here whatever comes before or after.
 _BOUNDARY = regex.compile(r"(?<=[\p{L}\p{N}!-~])(?=[ \n])")
+_RUN = regex.compile(rf"\p{{White_Space}}{{{LONG_RUN},}}+")
+_ONE_MATCH = r"[\s\S]+"
 
 
 @functools.lru_cache(maxsize=4)
@@ -47,6 +51,23 @@ def pieces(text: str, size: int = PIECE) -> Iterator[str]:
     yield text[start:]
 
 
+def token_ids(text: str, rank_file: str, pattern: str) -> list[np.ndarray]:
+    """Token ids of a text, in parts.
+
+    Of a long run of white space all but the last character are one match, which the next match may
+    take; at the end of the text the whole run is one.
+    """
+    known, merges = encoding(rank_file, pattern), encoding(rank_file, _ONE_MATCH)
+    parts, start = [], 0
+    for run in _RUN.finditer(text):
+        stop = run.end() - (run.end() < len(text))
+        parts += [known.encode_ordinary(piece) for piece in pieces(text[start : run.start()])]
+        parts.append(merges.encode_ordinary(text[run.start() : stop]))
+        start = stop
+    parts += [known.encode_ordinary(piece) for piece in pieces(text[start:])]
+    return [np.array(part, np.int32) for part in parts]
+
+
 def encode(text: Column, rank_file: str, pattern: str) -> Column:
     """Token ids of a text as an array of int; a null or empty text has none.
 
@@ -55,15 +76,12 @@ def encode(text: Column, rank_file: str, pattern: str) -> Column:
 
     @F.arrow_udf("array<int>")
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        known = encoding(rank_file, pattern)
         for batch in batches:
             values, ends = [], [0]
             for value in batch:
-                n = 0
-                for piece in pieces(value.as_py() or ""):
-                    values.append(np.array(known.encode_ordinary(piece), np.int32))
-                    n += len(values[-1])
-                ends.append(ends[-1] + n)
+                parts = token_ids(value.as_py() or "", rank_file, pattern)
+                values += parts
+                ends.append(ends[-1] + sum(map(len, parts)))
             flat = np.concatenate(values) if values else np.empty(0, np.int32)
             yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
 
