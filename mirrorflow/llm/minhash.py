@@ -1,7 +1,7 @@
 """Near-duplicate documents by an inverted join of MinHash signature coordinates.
 
-Texts with equal shingle sets form one class. A class is posted under its (coordinate, value)
-pairs. Pairs that no other class has are dropped, and with them every class that cannot reach the
+Texts with equal shingle sets form one class, which has a number of its own, whatever the ids of its
+rows. A class is posted under its (coordinate, value) pairs. Pairs that no other class has are dropped, and with them every class that cannot reach the
 match threshold; of the rest only the rarest are posted, enough that two classes above the
 threshold share four (prefix filter). Posting lists are not expanded into pairs of documents.
 Their members are gathered into blocks around the least class of their lists, first compared with
@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mirrorflow.llm.batches import bounded_batches
@@ -46,7 +46,7 @@ def match_threshold(percent: int, coordinates: int = COORDINATES, miss: float =
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, size: int, k: int) -> DataFrame:
-    """``id``, ``n_shingles``, ``set_key`` (digest of the shingle set) and ``sig`` of each row."""
+    """``id``, ``text_key``, ``n_shingles``, ``set_key`` (digest of the shingle set) and ``sig`` of each row."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import hashlib
@@ -56,14 +56,23 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, size: int, k: int) ->
             yield pd.DataFrame(
                 {
                     "id": batch["id"],
+                    "text_key": batch["text_key"],
                     "n_shingles": [len(s) for s in sets],
                     "set_key": [hashlib.md5(s.tobytes()).digest() if len(s) else None for s in sets],
                     "sig": [signature(s, k).tolist() if len(s) else None for s in sets],
                 }
             )
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInPandas(run, "id long, n_shingles long, set_key binary, sig array<int>")
+    rows = docs.select(
+        F.col(id_col).cast("long").cast("string").alias("id"), F.col(text_col).alias("text"), _text_key(text_col)
+    )
+    return rows.mapInPandas(run, "id string, text_key binary, n_shingles long, set_key binary, sig array<int>").select(
+        F.col("id").cast("long"), "text_key", "n_shingles", "set_key", "sig"
+    )
+
+
+def _text_key(text_col: str) -> Column:
+    return F.unhex(F.md5(F.col(text_col).cast("binary"))).alias("text_key")
 
 
 def _collisions(threshold: int) -> int:
@@ -185,9 +194,10 @@ def _compare_blocks(members: DataFrame, threshold: int, percent: int) -> DataFra
 
 
 def _members(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame, size: int) -> DataFrame:
-    """The rows of ``wanted`` (class, home, digest and signature) with their full shingle sets.
+    """The rows of ``wanted`` (class, its first text, home, digest and signature) with their full
+    shingle sets.
 
-    The texts are shuffled once, by id; equal rows of an id are dropped where that put them.
+    The texts are shuffled once, by id and digest; equal rows are dropped where that put them.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -198,9 +208,10 @@ def _members(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame, siz
             same = [hashlib.md5(s).digest() == k for s, k in zip(batch["shingles"], batch["set_key"])]
             yield batch.loc[same, ["rep", "home", "root", "n_shingles", "sig", "shingles"]]
 
-    rows = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text"))
-    picked = rows.join(wanted.hint("shuffle_hash"), "rep")
-    picked = picked.withColumn("digest", F.md5("text")).dropDuplicates(["rep", "digest", "set_key"])
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), _text_key(text_col))
+    first = wanted.withColumns({"_id": F.col("first.id"), "_text_key": F.col("first.text_key")}).drop("first")
+    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_text_key"))
+    picked = rows.join(first.hint("shuffle_hash"), same).dropDuplicates(["rep"])
     picked = picked.select("rep", "home", "root", "n_shingles", "sig", "set_key", "text")
     return picked.mapInPandas(
         run, "rep long, home long, root boolean, n_shingles long, sig array<int>, shingles binary"
@@ -237,7 +248,7 @@ def similar_links(
     homes = materialise(joint.groupBy("rep").agg(F.min("first").alias("home")), "homes")
     roots = homes.select(F.col("home").alias("rep")).distinct().withColumn("root", F.lit(True))
     homes = homes.join(roots, "rep", "left").withColumn("root", F.coalesce("root", F.lit(False)))
-    wanted = classes.select("rep", "set_key", "sig", "n_shingles").join(homes, "rep")
+    wanted = classes.select("rep", "first", "set_key", "sig", "n_shingles").join(homes, "rep")
     members = materialise(_members(docs, id_col, text_col, wanted, size), "members")
     near = materialise(_home_links(members, percent), "home_links")
 
@@ -284,6 +295,32 @@ def similar_links(
     return near.filter("linked").select(F.col("rep").alias("a"), F.col("home").alias("b")).unionByName(found)
 
 
+def _grouped(
+    docs: DataFrame, id_col: str, text_col: str, percent: int, size: int, coordinates: int, nameless: bool
+) -> tuple[DataFrame, DataFrame]:
+    """``sketches`` of the rows, and ``first`` of its group (ids before null ones) per ``set_key``.
+
+    Rows without an id take part if ``nameless`` is true.
+    """
+    bounded_batches(docs.sparkSession)
+    known = materialise(sketches(docs, id_col, text_col, size, coordinates), "sketches")
+    usable = known.filter("n_shingles > 0") if nameless else known.filter("id is not null and n_shingles > 0")
+    first = F.struct(F.col("id").isNull().alias("nameless"), "id", "text_key")
+    classes = usable.groupBy("set_key").agg(
+        F.min(first).alias("first"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n_shingles")
+    )
+    # numbers are unique and, once written, fixed
+    classes = materialise(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")
+    links = similar_links(docs, id_col, text_col, classes, percent, size, coordinates)
+    found = materialise(connected_components(links), "components")
+    roots = classes.select("set_key", "rep", "first").join(found.withColumnRenamed("id", "rep"), "rep", "left")
+    roots = materialise(
+        roots.select("set_key", "first", F.coalesce("component", "rep").alias("component")), "class_roots"
+    )
+    firsts = roots.groupBy("component").agg(F.min("first").alias("first"))
+    return known, roots.select("set_key", "component").join(firsts, "component").select("set_key", "first")
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -298,39 +335,52 @@ def near_duplicates(
     least ``percent`` / 100; ``component_id`` is the least id reachable by links and ``kept`` tells
     whether it is the row's own. Empty texts, null texts and texts without words have an empty set
     and are linked with nothing. A row without an id is linked with nothing, has no component and is
-    kept. Rows that share an id share its links. Other columns of ``docs`` are not looked at. An
-    empty table gives an empty table. A link is missed with probability 1e-8 at most.
+    kept. Rows that share an id are linked only if their texts are. Other columns of ``docs`` are not
+    looked at. An empty table gives an empty table. A link is missed with probability 1e-8 at most.
     """
-    bounded_batches(docs.sparkSession)
-    known = materialise(sketches(docs, id_col, text_col, size, coordinates), "sketches")
-    classes = materialise(
-        known.filter("id is not null and n_shingles > 0")
-        .groupBy("set_key")
-        .agg(F.min("id").alias("rep"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n_shingles")),
-        "classes",
+    known, roots = _grouped(docs, id_col, text_col, percent, size, coordinates, False)
+    rows = known.select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.col("set_key")).alias("set_key"))
+    component = F.coalesce(F.col("first.id"), F.col("id"))
+    return rows.join(roots, "set_key", "left").select(
+        F.col("id").alias("doc_id"),
+        "n_shingles",
+        component.alias("component_id"),
+        F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"),
     )
-    links = similar_links(docs, id_col, text_col, classes, percent, size, coordinates)
-    # rows that share an id but not a text hang together by that id
-    twins = known.filter("id is not null and n_shingles > 0").select("id", "set_key").join(
-        classes.select("set_key", "rep"), "set_key"
-    )
-    bridges = twins.filter("id <> rep").groupBy("id").agg(
-        F.min("rep").alias("b"), F.max("rep").alias("a")
-    ).filter("a <> b").select("a", "b")
-    found = materialise(connected_components(links.unionByName(bridges)), "components")
-    roots = materialise(
-        classes.select("set_key", "rep")
-        .join(found.withColumnRenamed("id", "rep"), "rep", "left")
-        .select("set_key", F.coalesce("component", "rep").alias("component")),
-        "class_roots",
+
+
+def without_near_duplicates(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    percent: int = 80,
+    size: int = 5,
+    coordinates: int = COORDINATES,
+) -> DataFrame:
+    """``docs`` with one row of each group of near duplicates, that of the least id.
+
+    Rows are judged by id and text: unlike texts under one id are groups of their own, and rows
+    without an id are judged like any other and give way to rows with one. Of rows that share id
+    and text the least in the other columns stays. Rows without words all stay.
+    """
+    known, roots = _grouped(docs, id_col, text_col, percent, size, coordinates, True)
+    own = F.struct(F.col("id").isNull().alias("nameless"), "id", "text_key")
+    judged = known.filter("n_shingles > 0").join(roots, "set_key")
+    judged = judged.groupBy("id", "text_key").agg(
+        F.every(own == F.col("first")).alias("kept"), F.count(F.lit(1)).alias("n")
     )
-    return (
-        known.select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.col("set_key")).alias("set_key"))
-        .join(roots, "set_key", "left")
-        .select(
-            F.col("id").alias("doc_id"),
-            "n_shingles",
-            F.coalesce("component", "id").alias("component_id"),
-            F.coalesce(F.coalesce("component", "id") == F.col("id"), F.lit(True)).alias("kept"),
-        )
+    marked = materialise(
+        judged.filter("n > 1 or not kept").select(F.col("id").alias("_id"), F.col("text_key").alias("_key"), "kept"),
+        "duplicates",
     )
+    packed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+        F.col(f"`{id_col}`").cast("long").alias("_own"), _text_key(f"`{text_col}`").alias("_text"),
+    )
+    same = F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_key"))
+    left = packed.join(marked.filter("not kept"), same, "left_anti")
+    again = marked.filter("kept").drop("kept")
+    if again.isEmpty():
+        return left.select("_row.*")
+    several = left.join(again, same, "left_semi").groupBy("_own", "_text").agg(F.min("_row").alias("_row"))
+    return left.join(again, same, "left_anti").select("_row").unionByName(several.select("_row")).select("_row.*")

@@ -23,23 +23,26 @@ def plain_set(text):
 def brute_force(rows, percent):
     """doc_id, n_shingles, component_id, kept of each row."""
     known = [(i, plain_set(t)) for i, t in rows]
-    usable = [(i, s) for i, s in known if i is not None and s]
-    root = {i: i for i, _ in usable}
+    usable = [n for n, (i, s) in enumerate(known) if i is not None and s]
+    root = list(range(len(known)))
 
     def find(x):
         while root[x] != x:
             x = root[x]
         return x
 
-    for n, (i, a) in enumerate(usable):
-        for j, b in usable[n + 1 :]:
+    for n, x in enumerate(usable):
+        for y in usable[n + 1 :]:
+            a, b = known[x][1], known[y][1]
             both = len(a & b)
-            if 100 * both >= percent * (len(a) + len(b) - both) and find(i) != find(j):
-                x, y = sorted((find(i), find(j)))
-                root[y] = x
+            if 100 * both >= percent * (len(a) + len(b) - both):
+                root[max(find(x), find(y))] = min(find(x), find(y))
+    least = {}
+    for x in usable:
+        least[find(x)] = min(known[x][0], least.get(find(x), known[x][0]))
     out = []
-    for i, s in known:
-        c = find(i) if i is not None and s else i
+    for x, (i, s) in enumerate(known):
+        c = least.get(find(x), i)
         out.append((i, len(s), c, i is None or c == i))
     return sorted(out, key=str)
 
@@ -80,6 +83,34 @@ def test_awkward_rows(spark):
     assert found(documents(spark, rows), 85) == brute_force([r[:2] for r in rows], 85)
 
 
+def test_unlike_texts_under_one_id(spark):
+    """They are classes of their own, whatever other rows either of them is like."""
+    a, b = prose(1, 80, 10**6), prose(2, 80, 10**6)
+    rows = [(2, a), (2, b), (1, b + " more"), (3, a), (2, a), (4, prose(3, 80, 10**6)), (4, prose(4, 80, 10**6))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = found(df, 85)
+    assert got == brute_force(rows, 85)
+    assert [r[2:] for r in got if r[0] == 2] == [(1, False), (2, True), (2, True)]
+
+
+def test_one_row_of_each_group(spark):
+    """Groups are judged by rows: no unlike text goes, and no group leaves two rows."""
+    rnd = random.Random(8)
+    texts = [prose(i, 60, 10**6) for i in range(6)]
+    rows = [(1, texts[0], 5), (1, texts[0], 3), (1, texts[1], 1), (2, texts[1], 1), (None, texts[2], 1), (None, texts[2], 1)]
+    rows += [(None, texts[3], 1), (7, texts[3], 2), (None, texts[0], 0), (3, "", 1), (3, "", 1), (None, None, 1), (4, texts[4], 1)]
+    rows += [(None, texts[5], 2), (None, texts[5] + " more", 1)]
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string, `a.b` int")
+    got = sorted((tuple(r) for r in minhash.without_near_duplicates(df).collect()), key=str)
+    want = [(1, texts[0], 3), (1, texts[1], 1), (None, texts[2], 1), (7, texts[3], 2), (4, texts[4], 1)]
+    want += [(3, "", 1), (3, "", 1), (None, None, 1)]
+    last = [r for r in got if r[0] is None and r[1] and r[1].startswith(texts[5])]
+    assert len(last) == 1
+    assert [r for r in got if r not in last] == sorted(want, key=str)
+    assert minhash.without_near_duplicates(df.limit(0)).count() == 0
+
+
 def test_given_documents(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = [(r.doc_id, r.text) for r in df.collect()]

@@ -53,6 +53,31 @@ def test_pieces_keep_the_ids_of_the_whole(whole):
     assert len(list(bpe.pieces("word " * 5000, 100))) > 100
 
 
+def test_runs_of_white_space(monkeypatch):
+    """Runs taken past the regular expression give the ids of the whole text."""
+    import regex
+
+    monkeypatch.setattr(bpe, "_RUN", regex.compile(r"\p{White_Space}{3,}+"))
+    whole, rnd = bpe.encoding(RANKS, P.PATTERN), random.Random(5)
+    parts = ["   ", " ", "\n\n", "\t", "a", "bc", "1", "!", "'s", "é", "\u3000\u3000", "\x1c\x1c\x1c", "\x85"]
+    for _ in range(3000):
+        text = "".join(rnd.choice(parts) for _ in range(rnd.randrange(25)))
+        assert [i for p in bpe.token_ids(text, RANKS, P.PATTERN) for i in p.tolist()] == whole.encode_ordinary(text)
+
+
+def test_very_long_white_space(spark):
+    runs = [c * 5_000_000 for c in " \t\n"]
+    rows = [(i, t) for i, t in enumerate([*runs, "word" + runs[0] + "word", runs[2] + "x", "a" * 1_000_000, "!" * 1_000_000])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    df = df.withColumn("ids", bpe.encode(F.col("text"), RANKS, P.PATTERN))
+    df = df.withColumn("raw", bpe.decode(F.col("ids"), RANKS, P.PATTERN))
+    got = df.select("doc_id", F.size("ids"), (F.col("raw") == F.col("text").cast("binary")).alias("same")).collect()
+    assert all(r.same for r in got) and len(got) == len(rows)
+    # blanks have no merges, line feeds merge in pairs
+    sizes = {r[0]: r[1] for r in got}
+    assert sizes[0] == 5_000_000 and sizes[2] == 2_500_000 and sizes[3] == 5_000_001
+
+
 def test_ids_and_bytes_of_awkward_texts(spark, whole):
     texts = [r[1] for r in awkward_documents()] + ["a" * 200_000, " " * 90_000 + "x", "\n" * 70_000, "<|endoftext|>"]
     df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
