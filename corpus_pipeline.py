@@ -1,14 +1,14 @@
 """From raw documents to token ids: the stages of a training corpus, each written and read again.
 
 1. Quality rules: documents that the repetition or divergence rules reject go.
-2. Near duplicates at a similarity of 0.8 on five-word shingles: the least id of each group stays,
-   and of rows that share that id the least row.
+2. Near duplicates at a similarity of 0.8 on five-word shingles: one row of each group stays, that of
+   the least id. Unlike texts that share an id all stay; rows without an id are judged like others.
 3. Personal data: matches that hold are replaced by their kind; ``n_chars`` follows the text.
 4. Mixing: sources by temperature, each document at least once and its source twice at most.
 5. Byte-level BPE: the token ids of each row.
 
 All but the last return the columns they are given. Null texts count as empty ones and go with the
-quality rules. Rows without an id pass the second stage.
+quality rules.
 """
 
 from __future__ import annotations
@@ -31,20 +31,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    judged = minhash.near_duplicates(docs, percent=80)
-    ids = judged.filter("doc_id is not null").groupBy("doc_id").agg(
-        F.every("kept").alias("kept"), F.count(F.lit(1)).alias("n")
-    )
-    marked = materialise(ids.filter("n > 1 or not kept").select("doc_id", "kept"), "duplicates")
-    left = docs.join(marked.filter("not kept"), "doc_id", "left_anti").select(*docs.columns)
-    again = marked.filter("kept").select("doc_id")
-    if again.isEmpty():
-        return left
-    # of rows that share an id the least one stays
-    others = [c for c in docs.columns if c != "doc_id"]
-    one = left.join(again, "doc_id").groupBy("doc_id").agg(F.min(F.struct(*others)).alias("_row"))
-    rest = left.join(again, "doc_id", "left_anti").select(*docs.columns)
-    return rest.unionByName(one.select("doc_id", "_row.*"))
+    return minhash.without_near_duplicates(docs, percent=80)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
