@@ -284,8 +284,9 @@ def _crc_table() -> list[int]:
     return table
 
 
-_CRC = f"""xor(4294967295, list_reduce(
-  list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode(t)), '..'), lambda h: CAST('0x' || h AS BIGINT))),
+def _crc(text: str) -> str:
+    return f"""xor(4294967295, list_reduce(
+  list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: CAST('0x' || h AS BIGINT))),
   lambda a, b: xor(a >> 8, list_extract({_crc_table()}::BIGINT[], (xor(a, b) & 255) + 1))))"""
 
 SHARDS = f"""
@@ -305,7 +306,7 @@ WITH d AS (
 )
 SELECT doc_id, CAST(size AS BIGINT) AS size, 'rows' AS law, CAST(place * 40 // n AS INT) AS shard,
   place - (place * 40 // n * n + 39) // 40 AS slot, CAST(NULL AS INT) AS grown_shard, CAST(curve AS BIGINT) AS curve,
-  {_CRC} AS text_crc32
+  {_crc('t')} AS text_crc32
 FROM placed
 """
 
@@ -338,3 +339,58 @@ WITH RECURSIVE v AS (
 SELECT t.vec_id, coalesce(n.n, 0) AS n_links, coalesce(m.c, t.vec_id) AS component_id, coalesce(m.c, t.vec_id) = t.vec_id AS kept
 FROM embeddings t LEFT JOIN n ON n.a = t.vec_id LEFT JOIN m ON m.id = t.vec_id
 """
+
+
+def _merkle() -> str:
+    """A tree per language, then one over the languages; each level is a step for nodes, folded digests and proofs.
+
+    Where a tree has one node left a step changes nothing. Eight to the power of ``deep`` leaves are enough.
+    """
+
+    def leaf(text: str) -> str:
+        parts = [f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
+                 for c in ("doc_id", "source", "lang", "n_chars", text)]
+        return f"sha256({' || '.join(parts)})"
+
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    sql = f"""
+WITH h AS (
+  SELECT doc_id, lang, {leaf('text')} AS leaf, CASE WHEN doc_id IS NOT NULL AND {_crc("CAST(coalesce(doc_id, 0) AS VARCHAR)")} % 3 = 0
+    THEN {leaf(lowered)} ELSE {leaf('text')} END AS claimed FROM documents
+), s0 AS MATERIALIZED (
+  SELECT *, claimed AS folded, '' AS proof, dense_rank() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS tree,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY lang) AS n FROM h
+), n0 AS MATERIALIZED (SELECT tree, idx, n, leaf AS hash FROM s0)"""
+    deep, wide = 7, 3
+
+    def level(i: int) -> str:
+        return f"""
+, g{i} AS MATERIALIZED (
+  SELECT tree, idx // 8 AS up, n, list(hash ORDER BY idx) AS hs FROM n{i} GROUP BY tree, up, n
+), n{i + 1} AS MATERIALIZED (
+  SELECT tree, up AS idx, (n + 7) // 8 AS n, CASE WHEN n > 1 THEN sha256(array_to_string(hs, '')) ELSE hs[1] END AS hash FROM g{i}
+), s{i + 1} AS MATERIALIZED (
+  SELECT s.* REPLACE (s.idx // 8 AS idx, (s.n + 7) // 8 AS n,
+    CASE WHEN s.n > 1 THEN sha256(array_to_string(hs[:s.idx % 8], '') || folded || array_to_string(hs[s.idx % 8 + 2:], '')) ELSE folded END AS folded,
+    CASE WHEN s.n > 1 THEN proof || array_to_string(hs[:s.idx % 8], '') || array_to_string(hs[s.idx % 8 + 2:], '') ELSE proof END AS proof)
+  FROM s{i} s JOIN g{i} g ON g.tree = s.tree AND g.up = s.idx // 8
+)"""
+
+    for i in range(deep):
+        sql += level(i)
+    top = deep + 1
+    sql += f"""
+, n{top} AS MATERIALIZED (SELECT 0 AS tree, tree AS idx, count(*) OVER () AS n, hash FROM n{deep}),
+s{top} AS MATERIALIZED (
+  SELECT s.* REPLACE (0 AS tree, s.tree AS idx, t.n AS n), t.hash AS subroot FROM s{deep} s JOIN n{top} t ON t.idx = s.tree
+)"""
+    for i in range(top, top + wide):
+        sql += level(i)
+    last = top + wide
+    return sql + f"""
+SELECT doc_id, leaf, subroot, hash AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = hash AS verified
+FROM s{last} s JOIN n{last} r ON r.idx = s.idx
+"""
+
+
+MERKLE = _merkle()

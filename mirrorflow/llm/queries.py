@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mirrorflow.llm import bpe, chat, covertree, minhash, mixing, pii, quality, shards, toxicity, warc
+from mirrorflow.llm import bpe, chat, covertree, merkle, minhash, mixing, pii, pulearn, quality, shards, toxicity, warc, whitening
 from mirrorflow.llm import oracles as O
 from mirrorflow.llm.batches import bounded_batches
 from mirrorflow.sources.scratch import materialise, scratch_path
@@ -147,3 +147,21 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op1_cover_tree_dedup", O.VECTORS)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return covertree.vector_duplicates(read(spark, sf_dir, "embeddings"))
+
+
+@register("op11_positive_unlabelled")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return pulearn.quality_scores(docs, read(spark, sf_dir, "labels"))
+
+
+@register("op12_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whitened(read(spark, sf_dir, "embeddings"))
+    # null beyond a long: the sum of squares grows with the square of the number of vectors
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+@register("op13_merkle_manifest", O.MERKLE)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.checked_documents(read(spark, sf_dir, "documents"))
