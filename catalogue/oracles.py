@@ -372,4 +372,4 @@ def sql(query: str, extra: dict[str, str] | None = None) -> str:
     for n, b in extra.items():
         kind = "MATERIALIZED " if n.startswith("mz_") or n.removesuffix("_m") in MATERIALIZED else ""
         parts.append(f"{n} AS {kind}(\n{b.strip()}\n)")
-    return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + query.strip()
+    return ("WITH RECURSIVE " + ",\n".join(parts) + "\n" if parts else "") + query.strip()

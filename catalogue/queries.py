@@ -9,13 +9,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalogue import model as M
-from catalogue import model_sql
+from catalogue import dense_sql, model_sql
 from catalogue import oracles as O
 from catalogue.derive import CUTOVER_YEAR, SPECIAL_REPORTERS, Fixture, fixture, iso, table
 from mirrorflow.functions import codes
 from mirrorflow.functions import semantics as S
 from mirrorflow.operators import (
-    checks, flows, gravity, impute, median, ols, ppml, ratios, valuation,
+    absorb, checks, flows, gravity, impute, median, ols, ppml, ratios, valuation,
 )
 from mirrorflow.plans import analysis, imputation, training
 from mirrorflow.sources import pages, schemas, tables
@@ -713,14 +713,6 @@ def negative_fits(fx, spark, sf_dir):
     return analysis.negative_fits(training_table(fx), M.STEEP_MODEL, M.STEEP_MODEL)
 
 
-@register("q42_coefficient_table")
-def coefficient_table(fx, spark, sf_dir):
-    rows = training_table(fx)
-    fit, _ = training.fit_model(rows)
-    poisson = ppml.fit_ppml(rows, PPML_Y, training.REGRESSORS, training.GROUP)
-    return rounded(analysis.coefficient_comparison(spark, fit, poisson))
-
-
 # --- pages and text ---------------------------------------------------------------------------
 
 
@@ -847,14 +839,6 @@ def ppml_year_effects(fx, spark, sf_dir):
     return rounded(spark.createDataFrame(rows, "term string, estimate double"))
 
 
-@register("q50_model_analysis")
-def model_analysis(fx, spark, sf_dir):
-    rows = training_table(fx)
-    fit, _, used = ols.fit_trimmed(rows, Y, training.REGRESSORS, W, training.GROUP)
-    poisson = ppml.fit_ppml(rows, PPML_Y, training.REGRESSORS, training.GROUP)
-    return rounded(analysis.model_analysis(used, rows, fit, poisson))
-
-
 # --- the whole model --------------------------------------------------------------------------
 
 MODEL_ROWS = (
@@ -896,6 +880,138 @@ def model_outliers(fx, spark, sf_dir):
     return spark.createDataFrame([(fit.outliers,)], "outliers bigint")
 
 
+TRIMMED = {"mz_d0": MODEL_ROWS, **{k: v for k, v in model_sql.trimmed_blocks("mz_d0", 6, 3).items() if k not in ("mz_i_3", "mz_d4")}}
+POISSON_ROWS = MODEL_ROWS.replace(f"{Y} AS y", f"{PPML_Y} AS y")
+MODEL_YEARS = sorted(map(int, M.YEAR_EFFECTS))
+OLS_DENSE = dense_sql.Dense("mz_d3", 6, MODEL_YEARS, "o")
+PPML_DENSE = dense_sql.Dense("mz_q0", 6, MODEL_YEARS, "q")
+
+
+def exact_tail(z: str) -> str:
+    """P(|Z| > |z|) by Simpson's rule; next to nothing beyond 9."""
+    x, n = f"least(abs({z}), 9.0)", 600
+    weights = f"CASE WHEN i = 0 OR i = {n} THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END"
+    area = f"list_sum(list_transform(range({n + 1}), lambda i: ({weights}) * exp(-0.5 * pow({x} * i / {n}, 2))))"
+    return f"(1 - sqrt(2 / pi()) * {x} / {3 * n} * {area})"
+
+
+def t_tail(t: str, df: str) -> str:
+    """P-value of a t statistic, by the normal quantile that belongs to it."""
+    f = f"(({t}) * ({t}))"
+    return exact_tail(f"(abs({t}) * (1 - ({f} + 1) / (4 * {df}) + (13 * {f} * {f} + 8 * {f} + 3) / (96 * {df} * {df})))")
+
+
+@register(
+    "q42_coefficient_table",
+    OLS_DENSE.terms("ols", training.REGRESSORS, "rss / (n - rank)", "ols", t_tail)
+    + " UNION ALL "
+    + PPML_DENSE.terms("ppml", training.REGRESSORS, "pearson / (n - rank)", "ppml", lambda z, df: exact_tail(f"({z})")),
+    {
+        **TRIMMED, **OLS_DENSE.blocks, **OLS_DENSE.least_squares("mz_ro", "w", "ols"),
+        "mz_q0": POISSON_ROWS, **PPML_DENSE.blocks, **PPML_DENSE.poisson("mz_rq", "ppml"),
+    },
+)
+def coefficient_table(fx, spark, sf_dir):
+    rows = training_table(fx)
+    fit, _ = training.fit_model(rows)
+    poisson = ppml.fit_ppml(rows, PPML_Y, training.REGRESSORS, training.GROUP)
+    out = analysis.coefficient_comparison(spark, fit, poisson)
+    return out.withColumns(
+        {c: nudged(F.col(c), 6 if c in ("estimate", "std_error") else 4) for c in out.columns[2:]}
+    )
+
+
+RESET_OLS = dense_sql.Dense("mz_d3", 6, MODEL_YEARS, "o", ["sq"])
+RESET_PPML = dense_sql.Dense("mz_q0", 6, MODEL_YEARS, "q", ["sq"])
+
+
+def metric(name: str, value: str, source: str, digits: int = 6) -> str:
+    return f"SELECT '{name}' AS metric, {O.val(value, digits)} AS value FROM {source}"
+
+
+@register(
+    "q50_model_analysis",
+    " UNION ALL ".join([
+        metric("ols_reset_pvalue", exact_tail(f"({Z_OF_F})"), "mz_f", 4),
+        metric("ppml_reset_pvalue", exact_tail(f"(t[{RESET_PPML.p}] / sqrt(pearson / (n - rank) * inv[{RESET_PPML.p}][{RESET_PPML.p}]))"), "mz_more", 4),
+        metric("ppml_pseudo_rsq", "r * r", "mz_ppml"),
+        metric("ols_r_squared", "1 - rss / tss", "mz_ols"),
+        metric("ols_n", "n", "mz_ols"),
+        metric("ppml_n", "n", "mz_ppml"),
+        metric("ols_negative_fitted", f"count(*) FILTER ({OLS_DENSE.index()} < 0)", "mz_ro, mz_ols"),
+        metric("ppml_negative_fitted", f"count(*) FILTER (exp({PPML_DENSE.index()}) < 1)", "mz_rq, mz_ppml"),
+    ]),
+    {
+        **TRIMMED, **OLS_DENSE.blocks, **OLS_DENSE.least_squares("mz_ro", "w", "ols"),
+        "mz_q0": POISSON_ROWS, **PPML_DENSE.blocks, **PPML_DENSE.poisson("mz_rq", "ppml"),
+        **OLS_DENSE.least_squares("mz_ro", "1.0", "plain"),
+        "mz_power": f"SELECT mz_ro.*, pow({OLS_DENSE.index()} - (SELECT avg(y) FROM mz_ro), 2) AS sq FROM mz_ro, mz_plain",
+        **RESET_OLS.least_squares("mz_power", "1.0", "wider"),
+        "mz_f": "SELECT (a.rss - b.rss) / (b.rss / (b.n - b.rank)) AS f, b.n - b.rank AS df2 FROM mz_plain a, mz_wider b",
+        "mz_iq": f"SELECT mz_rq.*, {PPML_DENSE.index()} AS ix FROM mz_rq, mz_ppml",
+        "mz_sqp": "SELECT *, pow(ix - (SELECT avg(ix) FROM mz_iq), 2) AS sq FROM mz_iq",
+        **RESET_PPML.poisson("mz_sqp", "more"),
+    },
+)
+def model_analysis(fx, spark, sf_dir):
+    rows = training_table(fx)
+    fit, _, used = ols.fit_trimmed(rows, Y, training.REGRESSORS, W, training.GROUP)
+    poisson = ppml.fit_ppml(rows, PPML_Y, training.REGRESSORS, training.GROUP)
+    out = analysis.model_analysis(used, rows, fit, poisson)
+    tail = F.col("metric").endswith("reset_pvalue")
+    return out.withColumn("value", F.when(tail, nudged(F.col("value"), 4)).otherwise(nudged(F.col("value"), 6)))
+
+
+# --- absorbed effects -------------------------------------------------------------------------
+
+ABSORBED_X = ["log_dist", "log_uv_exp"]
+EFFECTS = ["etfe", "itfe"]
+
+
+def absorbed_rows(y: str) -> str:
+    return f"""SELECT row_number() OVER () AS id, year, exporter_iso, importer_iso, {y} AS y, log_dist AS x1, log_uv_exp AS x2, {W} AS w
+FROM training WHERE isfinite({y}) AND isfinite(log_dist) AND isfinite(log_uv_exp) AND {W} > 0"""
+
+
+# exporters and importers meet within a year, so a level is redundant in every year
+ABSORBED_RANK = """(SELECT count(DISTINCT (year, exporter_iso)) + count(DISTINCT (year, importer_iso)) - count(DISTINCT year) + 2 FROM mz_a)"""
+
+
+def absorbed_terms(block: str, s2: str) -> str:
+    return " UNION ALL ".join(
+        f"""SELECT '{x}' AS term, {O.val(f'b{j}')} AS estimate, {O.val(f'sqrt({s2} * v{j}{j})')} AS std_error, n, {ABSORBED_RANK} AS rank FROM {block}"""
+        for j, x in enumerate(ABSORBED_X, 1)
+    )
+
+
+def absorbed_table(spark: SparkSession, fit: absorb.AbsorbedFit) -> DataFrame:
+    rows = [(x, b, e, fit.n, fit.rank) for x, b, e in zip(fit.x, fit.estimate, fit.std_error)]
+    return rounded(spark.createDataFrame(rows, "term string, estimate double, std_error double, n bigint, rank bigint"))
+
+
+@register(
+    "q61_absorbed_effects",
+    absorbed_terms("mz_b", f"(syy - b1 * s1y - b2 * s2y) / (n - {ABSORBED_RANK})"),
+    {
+        "mz_a": absorbed_rows(Y),
+        **dense_sql.two_effects("mz_a", "year", "exporter_iso", "importer_iso", ["x1", "x2", "y"], "_a"),
+        "mz_b": dense_sql.two_slopes("mz_o_a", "y", "count(*) AS n"),
+    },
+)
+def absorbed_effects(fx, spark, sf_dir):
+    """The weighted model with an effect per exporter and year and one per importer and year."""
+    return absorbed_table(spark, absorb.fit_absorbed(training_table(fx), Y, ABSORBED_X, EFFECTS, W))
+
+
+@register(
+    "q62_absorbed_ppml",
+    absorbed_terms("mz_pb9", f"(SELECT sum((y - mu) * (y - mu) / mu) FROM mz_pw9) / (n - {ABSORBED_RANK})"),
+    {"mz_a": absorbed_rows(PPML_Y), **dense_sql.absorbed_poisson("mz_a", "year", "exporter_iso", "importer_iso")},
+)
+def absorbed_ppml(fx, spark, sf_dir):
+    return absorbed_table(spark, absorb.fit_absorbed_ppml(training_table(fx), PPML_Y, ABSORBED_X, EFFECTS))
+
+
 YEAR_FIT = {
     "mz_fy": "SELECT year, sum(w) AS sw, sum(w * x) / sum(w) AS mx, sum(w * y) / sum(w) AS my FROM xyw GROUP BY year",
     "mz_fs": """SELECT sum(w * (x - mx) * (y - my)) / sum(w * (x - mx) * (x - mx)) AS b
@@ -1006,9 +1122,9 @@ def backfill_written(fx, spark, sf_dir):
 
 @register(
     "q59_missing_kept",
-    select_sql("kept_missing", f"{KEY_SQL}, qty_unit_exp, qty_unit_imp", O.I_SUMS),
+    select_sql("mz_kept_missing", f"{KEY_SQL}, qty_unit_exp, qty_unit_imp", O.I_SUMS),
     {
-        "kept_missing": re.sub(r"coalesce\((sum\([^)]*\)), 0.0\)", r"\1", O.CTES["converted"]),
+        "mz_kept_missing": re.sub(r"coalesce\((sum\([^)]*\)), 0.0\)", r"\1", O.CTES["converted"]),
     },
 )
 def missing_kept(fx, spark, sf_dir):
