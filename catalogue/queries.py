@@ -1144,3 +1144,54 @@ def ppml_store(fx, spark, sf_dir):
     ppml.save_ppml(spark, ppml.fit_ppml(rows, PPML_Y, [], training.GROUP), path)
     out = ols.predict(rows, ppml.load_ppml(spark, path).model, "fitted")
     return rounded(out.select(*TRAINING_KEYS, "fitted"))
+
+
+# --- nested and spanning cells ----------------------------------------------------------------
+
+
+def account_pages(supplier: DataFrame, nation: DataFrame) -> DataFrame:
+    """A page per nation: one cell names it beside the rows of all its suppliers, one title is above two columns,
+    and a cell of each row holds a table of its own."""
+    line = F.struct(
+        "s_suppkey",
+        F.concat(
+            F.lit("<td>"), F.col("s_name"), F.lit("<table class='notes'><tr><td> of </td><td>"), F.concat(F.lit("no "), F.col("s_suppkey").cast("string")),
+            F.lit("</td></tr></table></td><td>"), F.floor("s_acctbal").cast("string"), F.lit("<td>"),
+            F.col("s_suppkey").cast("string"), F.lit("</td>"),
+        ).alias("cells"),
+    )
+    lines = supplier.groupBy("s_nationkey").agg(F.sort_array(F.collect_list(line)).alias("lines"))
+    spanned = F.concat(
+        F.lit("<td rowspan=\""), F.size("lines").cast("string"), F.lit("\">"), F.col("n_name"), F.lit("</td>")
+    )
+    rows = F.transform("lines", lambda x, i: F.concat(F.lit("<tr>"), F.when(i == 0, spanned).otherwise(F.lit("")), x["cells"], F.lit("</tr>\n")))
+    html = F.concat(
+        F.lit("</table><div><table id=outer><tr><td><table id='accounts' data-x=\"a > b\"><tr><th>Nation<th>Name"),
+        F.lit("<th colspan=2>Account</tr>\n"), F.array_join(rows, ""), F.lit("</table></td></tr></table></div>"),
+    )
+    return lines.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select("n_nationkey", html.alias("html"))
+
+
+@register(
+    "q63_spanning_cells",
+    """SELECT n_nationkey, CAST(row_number() OVER (PARTITION BY n_nationkey ORDER BY s_suppkey) - 1 AS INT) AS position, n_name AS nation,
+  s_name || ' of no ' || s_suppkey AS name, CAST(CAST(floor(s_acctbal) AS BIGINT) AS VARCHAR) AS account, CAST(s_suppkey AS VARCHAR) AS account_2
+FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
+    derived=False,
+)
+def spanning_cells(fx, spark, sf_dir):
+    made = account_pages(table(spark, sf_dir, "supplier"), table(spark, sf_dir, "nation"))
+    return pages.extract_table(made, ["nation", "name", "account", "account_2"], {"id": "accounts"}, keys=["n_nationkey"])
+
+
+@register(
+    "q64_nested_tables",
+    """SELECT n_nationkey, 0 AS position, 'of' AS first, 'no ' || k AS second FROM (
+  SELECT s_nationkey, min(s_suppkey) AS k FROM supplier GROUP BY s_nationkey) JOIN nation ON s_nationkey = n_nationkey""",
+    derived=False,
+)
+def nested_tables(fx, spark, sf_dir):
+    """The inner table by its class: the first one of each page, below a header put in front."""
+    made = account_pages(table(spark, sf_dir, "supplier"), table(spark, sf_dir, "nation"))
+    headed = F.replace(F.col("html"), F.lit("<table class='notes'>"), F.lit("<table class='x notes'><tr><th>First</th><th>Second</th></tr>"))
+    return pages.extract_table(made.withColumn("html", headed), ["first", "second"], {"class": "notes"}, keys=["n_nationkey"])

@@ -72,3 +72,61 @@ def test_entities(spark):
     ]
     df = spark.createDataFrame([(a,) for a, _ in cases], "t string")
     assert [r[0] for r in df.select(pages.element_text(df.t)).collect()] == [b for _, b in cases]
+
+
+def test_long_tags_and_many_attributes(spark, rows):
+    """Neither a long tag nor many attributes nor deep nesting recurses."""
+    many = " ".join(f"a{i}='{i}'" for i in range(100_000))
+    html = [
+        f"<nav {'x' * 1_000_000} id=list><a {many} href='far'>one</a></nav>",
+        f"<nav title=\"{'> ' * 500_000}\" {many} id='list'><a href=b>two</a></nav>",
+        "<nav>" * 20_000 + "<nav id=list><a href=c>three<nav><a href=d>four</a></nav></a>" + "</nav>" * 20_000,
+        "<nav id='list'" + " \"'" * 200_000,
+    ]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(html)], "page int, html string")
+    out = pages.extract_elements(df, "nav", "a", "href", {"id": "list"}, keys=["page"])
+    assert rows(out) == [(0, 0, "one", "far"), (1, 0, "two", "b"), (2, 0, "three", "c"), (2, 1, "four", "d")]
+    table = [
+        f"<table {many} id=t><tr><th {many}>A</th></tr><tr><td {'y' * 1_000_000}>1</td></tr></table>",
+        "<table>" * 5_000 + "<table id=t><tr><th>A<tr><td>x" + "<table><tr><td>y" * 5_000,
+    ]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(table)], "page int, html string")
+    got = rows(pages.extract_table(df, ["a"], {"id": "t"}, keys=["page"]))
+    assert got == [(0, 0, "1"), (1, 0, "x" + "y" * 5_000)]
+
+
+def test_nested_and_spanning_cells(spark, rows):
+    html = """</table><table id=t><tr><th>A</th><th colspan='2'>B</th><th>C</th></tr>
+<tr><td rowspan=2>1<table><tr><td> in</td></tr><tr><td>ner</table></td><td>2</td><td>3</td><td rowspan=0>4</td></tr>
+<tr><td colspan="2">5</td></tr>
+<tr><td>6</td><td rowspan=9>7</td></tr></table>
+<script>var x = "<table id=t>";</script>"""
+    df = spark.createDataFrame([(html,)], "html string")
+    got = rows(pages.extract_table(df, ["a", "b", "b_2", "c"], {"id": "t"}))
+    assert got == [(0, "1 inner", "2", "3", "4"), (1, "1 inner", "5", "5", "4"), (2, "6", "7", None, "4")]
+
+
+def test_spans_against_a_drawn_grid():
+    """Every cell laid down on a grid drawn in full, for random tables."""
+    import random
+
+    rnd = random.Random(4)
+    for _ in range(300):
+        n, cells = rnd.randint(1, 6), []
+        for row in range(n):
+            for _ in range(rnd.randint(0, 4)):
+                cells.append((row, f"c{len(cells)}", rnd.choice([None, "1", "2", "3", "x"]), rnd.choice([None, "1", "2", "3"])))
+        grid = {}
+        for row, text, down, right in cells:
+            column = next(c for c in range(1000) if (row, c) not in grid)
+            for c in range(column, column + int(right or 1)):
+                if (row, c) in grid:
+                    break
+                for r in range(row, row + (int(down) if down in ("1", "2", "3") else 1)):
+                    grid[r, c] = text
+        last = max((r for r, *_ in cells), default=-1)
+        want = []
+        for r in range(last + 1):
+            width = max((c for rr, c in grid if rr == r), default=-1) + 1
+            want.append([grid.get((r, c)) for c in range(width)])
+        assert pages.spread_cells(cells) == want
