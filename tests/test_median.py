@@ -3,6 +3,7 @@ import random
 import statistics
 
 from mirrorflow.operators.median import add_grouped_median, grouped_median
+from mirrorflow.sources.scratch import materialise
 
 INF, NAN = math.inf, math.nan
 
@@ -56,3 +57,21 @@ def test_written_back_to_rows(spark):
     out = add_grouped_median(df, ["c"], "v", "m").collect()
     assert sorted((r.c, r.m) for r in out if r.c == "a") == [("a", 2.0), ("a", 2.0)]
     assert [r.m for r in out if r.c == "b"] == [None]
+
+
+def test_too_coarse_sketch(spark):
+    """Brackets that miss the middle are found out and widened; the result stays exact."""
+    rnd = random.Random(9)
+    groups = {f"g{i}": [rnd.random() ** 3 for _ in range(rnd.randint(900, 1500))] for i in range(4)}
+    groups["small"] = [1.0, 2.0, 4.0]
+    groups["ends"] = [0.0] * 700 + [1.0] * 700
+    # with an accuracy of 3 ranks are off by a third of a group, far more than the margin
+    assert run(spark, groups, accuracy=3, margin=0.001) == expected(groups)
+    written = []
+
+    def stage(df, name):
+        written.append(name)
+        return materialise(df, name)
+
+    assert run(spark, groups, stage=stage) == expected(groups)
+    assert len(written) == 2  # a scan for the sketches and one for the values between
