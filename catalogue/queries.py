@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from catalogue import model as M
 from catalogue import dense_sql, model_sql
@@ -15,7 +16,7 @@ from catalogue.derive import CUTOVER_YEAR, SPECIAL_REPORTERS, Fixture, fixture,
 from mirrorflow.functions import codes
 from mirrorflow.functions import semantics as S
 from mirrorflow.operators import (
-    absorb, checks, flows, gravity, impute, median, ols, ppml, ratios, valuation,
+    absorb, checks, flows, gravity, hotkeys, impute, median, ols, ppml, ranks, ratios, valuation,
 )
 from mirrorflow.plans import analysis, imputation, training
 from mirrorflow.sources import pages, schemas, tables
@@ -157,13 +158,13 @@ def kg_filter(fx, spark, sf_dir):
     return rounded(flows.filter_kg(training.mirrored_reports(fx.flows)))
 
 
-@register(
-    "q05_remaining_share",
-    f"""SELECT a.year, a.n AS n_total, coalesce(b.n, 0) AS n_remaining,
+REMAINING_SHARE = f"""SELECT a.year, a.n AS n_total, coalesce(b.n, 0) AS n_remaining,
   {O.rnd('coalesce(b.n, 0) / CAST(a.n AS DOUBLE)', 'prop_rows_after_filtering', 9)}
 FROM (SELECT year, count(*) AS n FROM mirror_t GROUP BY year) a
-LEFT JOIN (SELECT year, count(*) AS n FROM comparable GROUP BY year) b ON a.year = b.year""",
-)
+LEFT JOIN (SELECT year, count(*) AS n FROM comparable GROUP BY year) b ON a.year = b.year"""
+
+
+@register("q05_remaining_share", REMAINING_SHARE)
 def remaining_share(fx, spark, sf_dir):
     return rounded(
         training.remaining_share(fx.flows, fx.lookups.hs_crosswalk, CUTOVER_YEAR), 9
@@ -1093,10 +1094,10 @@ def single_csv(fx, spark, sf_dir):
 FROM valuation""",
 )
 def sorted_valuation(fx, spark, sf_dir):
-    """Positions in the sorted lookup table, read in its order."""
+    """Positions in the sorted lookup table, from ranges of its order."""
     clean = valuation.clean_valuation(fx.valuation_raw, fx.country_codes)
-    in_order = valuation.sort_valuation(clean).coalesce(1)
-    return in_order.select("year", "reporter", F.monotonically_increasing_id().alias("position"))
+    in_order = ranks.add_position(clean, ["year", "reporter"], "position")
+    return in_order.select("year", "reporter", "position")
 
 
 @register(
@@ -1195,3 +1196,81 @@ def nested_tables(fx, spark, sf_dir):
     made = account_pages(table(spark, sf_dir, "supplier"), table(spark, sf_dir, "nation"))
     headed = F.replace(F.col("html"), F.lit("<table class='notes'>"), F.lit("<table class='x notes'><tr><th>First</th><th>Second</th></tr>"))
     return pages.extract_table(made.withColumn("html", headed), ["first", "second"], {"class": "notes"}, keys=["n_nationkey"])
+
+
+# --- hot keys, checks within a job, files of uneven quality -------------------------------------
+
+
+@register(
+    "q65_hot_full_join",
+    """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE l_orderkey END AS l_key, o_key, o_totalprice
+FROM lineitem FULL JOIN (SELECT CASE WHEN o_orderkey % 7 = 1 THEN NULL ELSE o_orderkey END AS o_key, o_totalprice FROM orders WHERE o_orderkey % 5 <> 2
+  UNION ALL SELECT 0, -1.0) o ON CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE l_orderkey END IS NOT DISTINCT FROM o_key""",
+    derived=False,
+)
+def hot_full_join(fx, spark, sf_dir):
+    """Line items with their orders, where one key has a third of the lines and null a seventh of the orders."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+        F.when(F.col("l_orderkey") % 3 == 0, 0).otherwise(F.col("l_orderkey")).cast("long").alias("l_key"),
+    )
+    placed = table(spark, sf_dir, "orders").filter("o_orderkey % 5 <> 2").select(
+        F.when(F.col("o_orderkey") % 7 != 1, F.col("o_orderkey").cast("long")).alias("o_key"), F.col("o_totalprice").cast("double").alias("o_totalprice")
+    )
+    placed = placed.unionByName(spark.range(1).select(F.col("id").alias("o_key"), F.lit(-1.0).alias("o_totalprice")))
+    left, right = materialise(lines, "lines"), materialise(placed, "placed")
+
+    def columns(l: str, r: str) -> list[Column]:
+        return [F.col(f"{l}.{c}") for c in left.columns] + [F.col(f"{r}.{c}") for c in right.columns]
+
+    return hotkeys.full_join(left, right, [("l_key", "o_key")], columns)
+
+
+@register("q66_observed_share", REMAINING_SHARE)
+def observed_share(fx, spark, sf_dir):
+    """The share of q05, counted by the job that writes the comparable flows."""
+    years = [r["year"] for r in fx.flows.select("year").distinct().collect()]
+    _, share = training.observed_comparable(fx.flows, fx.lookups.hs_crosswalk, CUTOVER_YEAR, sorted(years))
+    return rounded(share, 9)
+
+
+@register(
+    "q67_malformed_rows",
+    """SELECT 'good' AS kind, s_nationkey, count(*) AS n, CAST(sum(s_suppkey) AS BIGINT) AS suppliers FROM supplier WHERE s_suppkey % 5 > 1 GROUP BY s_nationkey
+UNION ALL SELECT 'bad', s_nationkey, count(*), NULL FROM supplier WHERE s_suppkey % 5 <= 1 GROUP BY s_nationkey""",
+    derived=False,
+)
+def malformed_rows(fx, spark, sf_dir):
+    """Of the suppliers' lines a fifth has a word for a number, and a fifth a cell too many; one file per nation."""
+    key, nation = F.col("s_suppkey").cast("string"), F.col("s_nationkey").cast("string")
+    cells = F.when(F.col("s_suppkey") % 5 == 0, F.concat(F.lit("none,"), F.col("s_acctbal").cast("string")))
+    cells = cells.when(F.col("s_suppkey") % 5 == 1, F.concat(key, F.lit(",1.5,extra"))).otherwise(F.concat(key, F.lit(",")))
+    path = scratch_path(spark, "csv")
+    rows = table(spark, sf_dir, "supplier").select(F.concat(cells).alias("value"), F.concat(F.lit("n"), nation).alias("part"))
+    rows.write.partitionBy("part").text(path)
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.DoubleType())])
+    out = []
+    good, bad = tables.read_csv_checked(spark, path, schema, header=False)
+    at = F.substring("part", 2, 9).cast("int").alias("s_nationkey")
+    out.append(good.groupBy(at).agg(F.count(F.lit(1)).alias("n"), F.sum("k").alias("suppliers")).withColumn("kind", F.lit("good")))
+    named = F.regexp_extract("file", "part=n([0-9]+)/", 1).cast("int").alias("s_nationkey")
+    out.append(bad.groupBy(named).agg(F.count(F.lit(1)).alias("n")).withColumns({"suppliers": F.lit(None).cast("long"), "kind": F.lit("bad")}))
+    return out[0].unionByName(out[1]).select("kind", F.col("s_nationkey").cast("int"), "n", "suppliers")
+
+
+@register(
+    "q68_bound_rows",
+    """SELECT o_orderkey AS k, CAST(CAST(o_custkey AS INT) AS DOUBLE) AS v, NULL AS note FROM orders WHERE o_orderkey % 3 = 0
+UNION ALL SELECT o_orderkey, CAST(o_totalprice AS DOUBLE), NULL FROM orders WHERE o_orderkey % 3 = 1
+UNION ALL SELECT o_orderkey, NULL, o_orderstatus FROM orders WHERE o_orderkey % 3 = 2""",
+    derived=False,
+)
+def bound_rows(fx, spark, sf_dir):
+    """Three tables of one kind, written with fewer columns or narrower types, read as one."""
+    orders = table(spark, sf_dir, "orders")
+    parts = [
+        orders.filter("o_orderkey % 3 = 0").select(F.col("o_orderkey").cast("int").alias("k"), F.col("o_custkey").cast("int").alias("v")),
+        orders.filter("o_orderkey % 3 = 1").select(F.col("o_totalprice").cast("double").alias("v"), F.col("o_orderkey").cast("long").alias("k")),
+        orders.filter("o_orderkey % 3 = 2").select(F.col("o_orderkey").cast("long").alias("k"), F.col("o_orderstatus").alias("note")),
+    ]
+    return rounded(tables.bind_rows([materialise(p, "part") for p in parts]))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from mirrorflow.functions import codes
 from mirrorflow.functions import semantics as S
+from mirrorflow.operators import hotkeys
 
 FLOW_COLUMNS = (
     "year", "reporter_iso", "partner_iso", "commodity_code", "trade_value_usd", "qty_unit", "qty",
@@ -69,21 +70,27 @@ def net_reflows(main: DataFrame, re: DataFrame, keys: Sequence[str] = EXPORT_KEY
     )
 
 
-def mirror_join(exports: DataFrame, imports: DataFrame) -> DataFrame:
+def mirror_join(exports: DataFrame, imports: DataFrame, split_hot_keys: bool = False) -> DataFrame:
     """Pair the exporter's report of a flow with the importer's report of the same flow.
 
     Full outer join: in the result the reporter is the exporter and the partner the importer;
     columns end in ``_exp`` and ``_imp``. ``netweight_kg`` is carried if both sides have it.
+    ``split_hot_keys`` is for reports that repeat keys often; both sides should then be written tables.
     """
     measures = ["trade_value_usd", "qty_unit", "qty"]
     if "netweight_kg" in exports.columns and "netweight_kg" in imports.columns:
         measures.append("netweight_kg")
+
+    def columns(e: str, i: str) -> list[Column]:
+        return [F.coalesce(f"{e}.{a}", f"{i}.{b}").alias(a) for a, b in zip(EXPORT_KEYS, IMPORT_KEYS)] + [
+            F.col(f"{s}.{c}").alias(f"{c}_{n}") for c in measures for s, n in ((e, "exp"), (i, "imp"))
+        ]
+
+    pairs = list(zip(EXPORT_KEYS, IMPORT_KEYS))
+    if split_hot_keys:
+        return hotkeys.full_join(exports, imports, pairs, columns)
     e, i = exports.alias("e"), imports.alias("i")
-    joined = e.join(i, S.same_key("e", "i", zip(EXPORT_KEYS, IMPORT_KEYS)), "full")
-    return joined.select(
-        *[F.coalesce(f"e.{a}", f"i.{b}").alias(a) for a, b in zip(EXPORT_KEYS, IMPORT_KEYS)],
-        *[F.col(f"{s}.{c}").alias(f"{c}_{n}") for c in measures for s, n in (("e", "exp"), ("i", "imp"))],
-    )
+    return e.join(i, S.same_key("e", "i", pairs), "full").select(*columns("e", "i"))
 
 
 def kg_condition(ton: float = 1000.0, min_value: float = 10.0, min_tons: float = 2.0) -> Column:

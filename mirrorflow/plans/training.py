@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from mirrorflow.operators import checks, flows, gravity, ols, ratios
@@ -37,11 +38,17 @@ def mirrored_reports(all_flows: DataFrame) -> DataFrame:
     )
 
 
-def comparable_flows(all_flows: DataFrame, crosswalk: DataFrame, cutover_year: int) -> DataFrame:
-    """Mirrored flows in kilograms on both sides, all in the new classification."""
+def comparable_flows(
+    all_flows: DataFrame, crosswalk: DataFrame, cutover_year: int, seen: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
+    """Mirrored flows in kilograms on both sides, all in the new classification.
+
+    ``seen`` gets the mirrored reports of either classification on their way and returns them.
+    """
 
     def kept(part: DataFrame) -> DataFrame:
-        return flows.filter_kg(mirrored_reports(part)).select(
+        mirrored = mirrored_reports(part)
+        return flows.filter_kg(seen(mirrored) if seen else mirrored).select(
             *flows.TRAINING_GROUP, *flows.TRAINING_SUMS
         )
 
@@ -64,6 +71,30 @@ def remaining_share(all_flows: DataFrame, crosswalk: DataFrame, cutover_year: in
     )
 
 
+def observed_comparable(
+    all_flows: DataFrame, crosswalk: DataFrame, cutover_year: int, years: Sequence[int], stage: Stage = materialise
+) -> tuple[DataFrame, DataFrame]:
+    """``comparable_flows`` written, and the share of rows that are left, per year.
+
+    The numbers of rows are observed in the job that writes the table: mirrored reports before the filter, and rows
+    written. ``years`` are those of the flows; years without a mirrored row are left out.
+    """
+    before = [Observation(f"mirrored {side}") for side in ("old", "new")]
+    after = Observation("comparable")
+
+    def counts() -> list[Column]:
+        return [F.count_if(F.col("year") == int(y)).alias(f"n{int(y)}") for y in years]
+
+    made = iter(before)
+    out = comparable_flows(all_flows, crosswalk, cutover_year, lambda df: df.observe(next(made), *counts()))
+    table = stage(out.observe(after, *counts()), "comparable")
+    total = {y: sum(o.get.get(f"n{int(y)}", 0) or 0 for o in before) for y in years}
+    left = after.get
+    rows = [(int(y), total[y], left[f"n{int(y)}"], left[f"n{int(y)}"] / total[y]) for y in years if total[y]]
+    schema = "year int, n_total bigint, n_remaining bigint, prop_rows_after_filtering double"
+    return table, all_flows.sparkSession.createDataFrame(rows, schema)
+
+
 def training_set(
     all_flows: DataFrame,
     lookups: Lookups,

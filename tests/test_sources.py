@@ -2,6 +2,7 @@ import glob
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mirrorflow.plans import imputation
 from mirrorflow.sources import schemas, scratch, tables
@@ -99,3 +100,53 @@ def test_summary_shares(spark, rows):
         [(2000, "x")] * 3 + [(2000, "y")] + [(2001, "x")] * 2, "year int, flag string"
     )
     assert rows(imputation.imputation_summary(df)) == [(2000, "x", 3, 0.75), (2000, "y", 1, 0.25), (2001, "x", 2, 1.0)]
+
+
+def test_years_killed_between_files_are_built_again(spark, tmp_path, rows):
+    """A year counts once its manifest entry is there and its files are as entered."""
+    path, asked = str(tmp_path / "t"), []
+
+    def build(years):
+        asked.append(years)
+        return spark.createDataFrame([(y, float(len(asked))) for y in years for _ in range(3)], "year int, v double")
+
+    tables.backfill(spark, path, [2001, 2002, 2003], build)
+    # a run that ended after some files of 2004, before the manifest
+    spark.createDataFrame([(9.0,)], "v double").write.parquet(f"{path}/year=2004")
+    # and one that ended while it wrote 2002 anew
+    spark.createDataFrame([(9.0,)], "v double").write.mode("append").parquet(f"{path}/year=2002")
+    assert tables.present_years(spark, path) == [2001, 2003]
+    assert tables.backfill(spark, path, [2001, 2002, 2003, 2004], build) == [2002, 2004]
+    assert asked == [[2001, 2002, 2003], [2002, 2004]]
+    assert tables.present_years(spark, path) == [2001, 2002, 2003, 2004]
+    assert rows(tables.read_by_year(spark, path)) == sorted((y, v) for y, v in [(2001, 1.0), (2002, 2.0), (2003, 1.0), (2004, 2.0)] for _ in range(3))
+    assert tables.present_years(spark, str(tmp_path / "none")) == []
+
+
+def test_malformed_lines(spark, tmp_path, rows):
+    text = ["k,v,d", "1,2.5,2020-01-01", "x,1.0,2020-01-02", "2,,", "3,1.0,not a day", "4,1.0", "5,1.0,2020-01-03,more", '6,"1.5",2020-01-04']
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c" / "a.csv").write_text("\n".join(text))
+    (tmp_path / "c" / "b.csv").write_text("k,v,d\n7,0.5,2020-01-05\nbad line")
+    schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("v", T.DoubleType()), T.StructField("d", T.DateType())])
+    good, bad = tables.read_csv_checked(spark, str(tmp_path / "c"), schema)
+    assert good.columns == ["k", "v", "d"]
+    assert sorted(r.k for r in good.select("k").collect()) == [1, 2, 6, 7]
+    got = sorted((r.file.rsplit("/", 1)[1], r.line) for r in bad.collect())
+    assert got == [("a.csv", text[4]), ("a.csv", text[5]), ("a.csv", text[6]), ("a.csv", text[2]), ("b.csv", "bad line")]
+    assert sorted((r.file.rsplit("/", 1)[1], r["count"]) for r in bad.groupBy("file").count().collect()) == [("a.csv", 4), ("b.csv", 1)]
+
+
+def test_bound_rows(spark, rows):
+    a = spark.createDataFrame([(1, 2)], "k int, v int")
+    b = spark.createDataFrame([(1.5, 2**40)], "v double, k long")
+    c = spark.createDataFrame([("n", None)], "`odd.name` string, v void")
+    out = tables.bind_rows([a, b, c])
+    assert out.dtypes == [("k", "bigint"), ("v", "double"), ("odd.name", "string")]
+    assert sorted(map(str, (tuple(r) for r in out.collect()))) == sorted(map(str, [(1, 2.0, None), (2**40, 1.5, None), (None, None, "n")]))
+    wide = [tables.wider_type(T.DecimalType(10, 2), t) for t in (T.DecimalType(5, 4), T.IntegerType(), T.DoubleType())]
+    assert wide == [T.DecimalType(12, 4), T.DecimalType(12, 2), T.DoubleType()]
+    assert tables.wider_type(T.LongType(), T.FloatType()) == T.DoubleType()
+    assert tables.wider_type(T.DateType(), T.TimestampType()) == T.TimestampType()
+    with pytest.raises(TypeError, match="column v"):
+        tables.bind_rows([a, a.selectExpr("cast(v as string) as v")])
