@@ -5,7 +5,7 @@ its members until one is left, the subroot; subroots become the root in the same
 built one after the other, each from groups of eight at most, and stored as node rows that
 know their parent and their siblings to the left and right.
 
-To check rows, a recursive common table expression climbs from the leaves: each step joins the node
+Digests are hashed as hex text and travel as bytes. To check rows, a recursive common table expression climbs from the leaves: each step joins the node
 reached, appends its siblings to the proof and folds them with the digest carried along. Leaves of
 one run have all nodes above it in common, so they climb in one row, as an array of digests beside one
 proof. Places of leaves come from range partitions, so no partition value is one task.
@@ -67,7 +67,7 @@ def _node_rows(runs: DataFrame) -> DataFrame:
     """``node``, ``parent``, ``left`` and ``right`` of each member of the runs."""
     members = runs.select("parent", F.col("kids"), F.posexplode(F.col("kids")["node"]).alias("_at", "node"))
     left, right = _siblings("kids", F.col("_at"))
-    return members.select("node", "parent", left.alias("left"), right.alias("right"))
+    return members.select("node", "parent", F.unhex(left).alias("left"), F.unhex(right).alias("right"))
 
 
 def _levels(n: int) -> int:
@@ -105,7 +105,7 @@ def build_manifest(leaves: DataFrame, partition: str, order: str, hash_col: str,
     trees = materialise(ranked(materialise(trees, "merkle_sizes"), ["_part_value"], "tree"), "merkle_trees")
     n_trees, largest = trees.agg(F.count(F.lit(1)), F.max("n")).first()
     if not n_trees:
-        nothing = spark.createDataFrame([], f"node {_NODE}, parent {_NODE}, left string, right string")
+        nothing = spark.createDataFrame([], f"node {_NODE}, parent {_NODE}, left binary, right binary")
         runs = rows.select(_key(F.lit(0), 0, F.lit(0)).alias("parent"), F.array(F.struct(*carried)).alias("kids"))
         return Manifest(runs, nothing, trees.select("tree", "_part_value", F.lit("").alias("subroot")), None)
 
@@ -149,7 +149,7 @@ def build_manifest(leaves: DataFrame, partition: str, order: str, hash_col: str,
         )
     root = current.select("hash").first()["hash"]
     every = materialise(reduce(DataFrame.unionByName, found), "merkle_node_rows") if found else spark.createDataFrame(
-        [], f"node {_NODE}, parent {_NODE}, left string, right string"
+        [], f"node {_NODE}, parent {_NODE}, left binary, right binary"
     )
     # lone leaves join the climb as runs of one, from their own place among the subroots
     alone = lone.select(
@@ -175,9 +175,10 @@ def _without_limit(spark: SparkSession) -> Iterator[None]:
 
 _CLIMB = """
 WITH RECURSIVE climb (run, node, folded, proof) AS (
-  SELECT run, run AS node, folded, '' AS proof FROM {runs}
+  SELECT run, run AS node, folded, cast('' AS binary) AS proof FROM {runs}
   UNION ALL
-  SELECT c.run, n.parent, transform(c.folded, f -> sha2(concat(n.left, f, n.right), 256)),
+  SELECT c.run, n.parent,
+    transform(c.folded, f -> unhex(sha2(lower(concat(hex(n.left), hex(f), hex(n.right))), 256))),
     concat(c.proof, n.left, n.right)
   FROM climb c JOIN {nodes} n ON n.node = c.node
   WHERE n.parent IS NOT NULL
@@ -188,7 +189,7 @@ SELECT run, folded, proof FROM climb WHERE node.tree = """
 def check_rows(manifest: Manifest, claimed: str) -> DataFrame:
     """Every row of the manifest with ``tree``, ``hash``, ``proof_sha256`` and ``folded_root``.
 
-    ``claimed`` is the carried column that holds the digest to check in place of the leaf's own.
+    ``claimed`` is the carried column that holds the digest to check in place of the leaf's own, or null.
     The proof is the digests of all siblings on the way up, level by level, left to right.
     """
     runs, spark = manifest.leaf_runs, manifest.leaf_runs.sparkSession
@@ -202,7 +203,8 @@ def check_rows(manifest: Manifest, claimed: str) -> DataFrame:
 
     def own(k: Column, i: Column) -> Column:
         left, right = _siblings("kids", i)
-        return F.when(alone, k[claimed]).otherwise(F.sha2(F.concat(left, k[claimed], right), 256))
+        given = F.coalesce(k[claimed], k["hash"])
+        return F.unhex(F.when(alone, given).otherwise(F.sha2(F.concat(left, given, right), 256)))
 
     starts = runs.select(F.col("parent").alias("run"), F.transform("kids", own).alias("folded"))
     top = _levels(manifest.subroots.count())
@@ -214,10 +216,9 @@ def check_rows(manifest: Manifest, claimed: str) -> DataFrame:
     kids = runs.join(climbed, runs["parent"] == climbed["run"])
     kids = kids.select("parent", "kids", "folded", "proof", F.posexplode("kids").alias("_at", "kid"))
     left, right = _siblings("kids", F.col("_at"))
-    siblings = F.when(F.col("parent.level") == 0, F.col("proof")).otherwise(F.concat(left, right, "proof"))
-    return kids.select(
-        "kid.*", F.sha2(siblings, 256).alias("proof_sha256"), F.get("folded", F.col("_at")).alias("folded_root")
-    )
+    proof, folded = F.lower(F.hex("proof")), F.lower(F.hex(F.get("folded", F.col("_at"))))
+    siblings = F.when(F.col("parent.level") == 0, proof).otherwise(F.concat(left, right, proof))
+    return kids.select("kid.*", F.sha2(siblings, 256).alias("proof_sha256"), folded.alias("folded_root"))
 
 
 def _lowered(text: Column) -> Column:
@@ -237,7 +238,7 @@ def checked_documents(docs: DataFrame) -> DataFrame:
         return row_digest([F.col(c) for c in ("doc_id", "source", "lang", "n_chars")] + [text])
 
     marked = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
-    claimed = F.when(F.coalesce(marked, F.lit(False)), digest(_lowered(F.col("text")))).otherwise(digest(F.col("text")))
+    claimed = F.when(marked, digest(_lowered(F.col("text"))))
     leaves = docs.select("doc_id", "lang", digest(F.col("text")).alias("leaf"), claimed.alias("claimed"))
     manifest = build_manifest(materialise(leaves, "merkle_digests"), "lang", "doc_id", "leaf", ["doc_id", "claimed"])
     rows = check_rows(manifest, "claimed")
