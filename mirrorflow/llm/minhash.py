@@ -209,9 +209,11 @@ def _members(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame, siz
             yield batch.loc[same, ["rep", "home", "root", "n_shingles", "sig", "shingles"]]
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), _text_key(text_col))
-    first = wanted.withColumns({"_id": F.col("first.id"), "_text_key": F.col("first.text_key")}).drop("first")
-    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_text_key"))
-    picked = rows.join(first.hint("shuffle_hash"), same).dropDuplicates(["rep"])
+    # plain columns as keys, so that dropping repeated rows needs no further exchange; a null id counts as the least
+    least = F.lit(-(2**63)).cast("long")
+    rows = rows.withColumn("_id", F.coalesce("id", least)).drop("id")
+    first = wanted.withColumns({"_id": F.coalesce("first.id", least), "text_key": F.col("first.text_key")}).drop("first")
+    picked = rows.join(first.hint("shuffle_hash"), ["_id", "text_key"]).dropDuplicates(["_id", "text_key"])
     picked = picked.select("rep", "home", "root", "n_shingles", "sig", "set_key", "text")
     return picked.mapInPandas(
         run, "rep long, home long, root boolean, n_shingles long, sig array<int>, shingles binary"
