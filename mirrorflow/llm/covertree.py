@@ -1,16 +1,20 @@
 """Exact near-duplicate vectors by cover trees and dual traversal.
 
-Equal vectors form one class. Classes go to the nearest of a bounded number of pivots, and the cells of
-the pivots are cut into blocks of bounded size. Two blocks are compared unless the distance of their
-pivots exceeds their covering radii and the threshold together. A task builds a cover tree for
-each of its two blocks (nested levels with halving radii) and walks down both at once, dropping
-node pairs by the same bound; what is left at the leaves is compared exactly. A task returns the
-number of links per class and links that span the components, never all pairs.
+Equal vectors form one class. The classes of a label are divided among pivots drawn from them, the
+cells of pivots that are still too large among further pivots, and so on, until every cell is a
+block of bounded size. Cells know their pivot and covering radius, so they form a tree as well:
+pairs of cells are followed down it and dropped where the distance of the pivots exceeds both radii and the
+threshold together. What remains are pairs of blocks. Each block has one cover tree (nested levels
+with halving radii), built once from distances to its chosen centres only; a task walks down
+two of them at once, dropping node pairs by the same bound, and compares exactly what is left at
+the leaves. A task returns the number of links per class and links that span the components,
+never all pairs.
 """
 
 from __future__ import annotations
 
 import math
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -24,8 +28,10 @@ from mirrorflow.llm.components import connected_components, spanning_links
 from mirrorflow.sources.scratch import materialise
 
 BLOCK_ROWS = 1024
-MAX_PIVOTS = 2048
-LEAF = 8
+FANOUT = 256  # pivots of one cell at most
+SALT_ROWS = 8192  # rows of a cell that are placed together
+MAX_TURNS = 8  # divisions by pivots; cells that are still too large are cut by hash
+LEAF = 16
 _SLACK = 1e-6  # distances near 0 come from cosines near 1 and keep half their digits
 
 
@@ -40,38 +46,61 @@ def distances(cosines: np.ndarray) -> np.ndarray:
 
 @dataclass
 class CoverTree:
-    """Nodes of the tree over the rows of ``unit``: centre, covering radius, children, members of leaves."""
+    """Nodes of the tree over the rows of ``unit``: centre, covering radius, children, members of leaves.
+
+    Children of a node have centres more than ``reach`` apart and members within ``reach`` of
+    their centre, ``reach`` being a power of two below the node's radius. A node stays a leaf if its
+    children would be more than half as many as its members: there would be nothing to prune in bulk.
+    ``computed`` counts the distances that were formed.
+    """
 
     unit: np.ndarray
     centre: list[int] = field(default_factory=list)
     radius: list[float] = field(default_factory=list)
     children: list[list[int]] = field(default_factory=list)
     members: list[np.ndarray] = field(default_factory=list)
+    reach: list[float] = field(default_factory=list)
+    computed: int = 0
 
     def __post_init__(self) -> None:
-        far = distances(self.unit @ self.unit.T)
-        work = [(self._node(0, np.arange(len(self.unit)), far), 1.0)]
+        rows = np.arange(len(self.unit))
+        far = self._from(0, rows)
+        work = [(self._node(0, rows, far, 2.0), far)]
         while work:
-            node, reach = work.pop()
-            rest, centre = self.members[node], self.centre[node]
+            node, far = work.pop()
+            rest, centre, reach = self.members[node], self.centre[node], self.reach[node] / 2
             if len(rest) <= LEAF or self.radius[node] <= _SLACK:
                 continue
             while reach >= self.radius[node]:
                 reach /= 2
-            while len(rest):
-                near = far[centre, rest] <= reach
-                child = self._node(centre, rest[near], far)
-                self.children[node].append(child)
-                work.append((child, reach / 2))
+            parts = []
+            while len(rest) and 2 * len(parts) <= len(self.members[node]):
+                near = far <= reach
+                parts.append((centre, rest[near], far[near]))
                 rest = rest[~near]
-                centre = rest[0] if len(rest) else centre
+                if len(rest):
+                    centre = int(rest[0])
+                    far = self._from(centre, rest)
+            if len(rest):
+                continue
+            for centre, near, far in parts:
+                child = self._node(centre, near, far, reach)
+                self.children[node].append(child)
+                work.append((child, far))
             self.members[node] = self.members[node][:0]
 
-    def _node(self, centre: int, members: np.ndarray, far: np.ndarray) -> int:
-        self.centre.append(int(centre))
-        self.radius.append(float(far[centre, members].max()))
+    def _from(self, centre: int, rows: np.ndarray) -> np.ndarray:
+        self.computed += len(rows)
+        far = distances(self.unit[rows] @ self.unit[centre])
+        far[rows == centre] = 0.0
+        return far
+
+    def _node(self, centre: int, members: np.ndarray, far: np.ndarray, reach: float) -> int:
+        self.centre.append(centre)
+        self.radius.append(float(far.max()))
         self.children.append([])
         self.members.append(members)
+        self.reach.append(reach)
         return len(self.centre) - 1
 
 
@@ -87,30 +116,41 @@ def _product(a: list, b: list) -> tuple[np.ndarray, np.ndarray]:
     return flat_a[start_a[pair] + inner // nb[pair]], flat_b[start_b[pair] + inner % nb[pair]]
 
 
+def _close_members(left: CoverTree, right: CoverTree, i: np.ndarray, j: np.ndarray, cosine: float):
+    """Members of the leaves ``i`` and ``j`` that may have the cosine: one product per leaf of ``left``."""
+    order = np.argsort(i, kind="stable")
+    i, j = i[order], j[order]
+    for a, partners in zip(np.unique(i), np.split(j, np.flatnonzero(np.diff(i)) + 1)):
+        own = left.members[a]
+        others = np.concatenate([right.members[b] for b in partners])
+        x, y = np.nonzero(left.unit[own] @ right.unit[others].T >= cosine - _SLACK)
+        yield np.stack([own[x], others[y]])
+
+
 def dual_pairs(left: CoverTree, right: CoverTree, cosine: float) -> tuple[np.ndarray, np.ndarray]:
     """Rows of ``left`` and ``right`` with the cosine or more; each pair once if they are one tree."""
     own, limit = left is right, threshold_distance(cosine)
-    tables = [(np.array(t.centre), np.array(t.radius), t.children, t.members) for t in (left, right)]
-    (ca, ra, kids_a, rows_a), (cb, rb, kids_b, rows_b) = tables
+    (ca, ra), (cb, rb) = [(np.array(t.centre), np.array(t.radius)) for t in (left, right)]
+    leaf_a, leaf_b = [np.array([not k for k in t.children]) for t in (left, right)]
     i, j = np.zeros(1, np.int64), np.zeros(1, np.int64)
-    found = []
+    found = [np.empty((2, 0), np.int64)]
     while len(i):
         cosines = np.einsum("nd,nd->n", left.unit[ca[i]], right.unit[cb[j]])
         keep = distances(cosines) <= ra[i] + rb[j] + limit
         i, j = i[keep], j[keep]
-        leaves = np.array([not kids_a[a] and not kids_b[b] for a, b in zip(i, j)], bool)
-        x, y = _product([rows_a[a] for a in i[leaves]], [rows_b[b] for b in j[leaves]])
-        if own:
-            x, y = np.minimum(x, y), np.maximum(x, y)
-        found.append(np.stack([x, y]))
+        leaves = leaf_a[i] & leaf_b[j]
+        if leaves.any():
+            found += _close_members(left, right, i[leaves], j[leaves], cosine)
         i, j = i[~leaves], j[~leaves]
-        i, j = _product([kids_a[a] or [a] for a in i], [kids_b[b] or [b] for b in j])
+        i, j = _product([left.children[a] or [a] for a in i], [right.children[b] or [b] for b in j])
         if own:
             once = np.unique(np.minimum(i, j) * len(ca) + np.maximum(i, j))
             i, j = once // len(ca), once % len(ca)
     x, y = np.concatenate(found, axis=1)
     if own:
-        x, y = np.unique(np.stack([x, y])[:, x != y], axis=1)
+        once = np.unique(np.minimum(x, y) * len(left.unit) + np.maximum(x, y))
+        x, y = once // len(left.unit), once % len(left.unit)
+        x, y = x[x != y], y[x != y]
     close = np.concatenate(
         [
             np.einsum("nd,nd->n", left.unit[x[k : k + 65536]], right.unit[y[k : k + 65536]]) >= cosine
@@ -122,89 +162,167 @@ def dual_pairs(left: CoverTree, right: CoverTree, cosine: float) -> tuple[np.nda
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
+    vectors = vectors.astype(float)
     scaled = vectors / np.abs(vectors).max(axis=1, keepdims=True)
     return scaled / np.sqrt((scaled * scaled).sum(axis=1, keepdims=True))
 
 
-def _placed(classes: DataFrame, pivots: list[tuple[str, int, bytes]]) -> DataFrame:
-    """Classes with their unit vector, nearest pivot of their group (-1 without one) and its distance."""
-    by_group: dict[str, tuple[np.ndarray, np.ndarray]] = {}
-    for group in {p[0] for p in pivots}:
-        own = [p for p in pivots if p[0] == group]
-        vectors = np.stack([np.frombuffer(p[2]) for p in own])
-        by_group[group] = np.array([p[1] for p in own]), vectors
+def _to_nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows of a cell, after the cell's pivots, under the cell of the nearest of them."""
+    key, numbers, centres = None, [], []
+    for batch in batches:
+        for cell, part in batch.groupby(["cell", "salt"], sort=False):
+            if cell != key:
+                key, numbers, centres = cell, [], []
+            unit = _unit(np.stack(part["vector"].to_numpy()))
+            head = (part["side"] == 0).to_numpy()
+            if head.any():
+                numbers.append(part["bucket"].to_numpy()[head])
+                centres.append(unit[head])
+            part, unit = part[~head], unit[~head]
+            if not len(part):
+                continue
+            number = np.concatenate(numbers)
+            cosines = unit @ np.concatenate(centres).T
+            best = cosines.argmax(axis=1)
+            if part["flat"].iloc[0]:
+                places = {b: k for k, b in enumerate(number)}
+                best = np.array([places[b] for b in part["bucket"]])
+            yield pd.DataFrame(
+                {
+                    "rep": part["rep"].to_numpy(),
+                    "n": part["n"].to_numpy(),
+                    "cell": [f"{cell[0]}/{b}" for b in number[best]],
+                    "far": distances(cosines[np.arange(len(part)), best]),
+                    "vector": part["vector"].to_numpy(),
+                }
+            )
+
+
+def _divided(rows: DataFrame, sizes: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
+    """Rows of the cells in ``sizes`` under new cells, and these: ``node``, ``parent``, ``vector``.
+
+    Cells of one direction, and all cells after ``MAX_TURNS``, are cut by hash. A cell's rows are dealt
+    over salts, and its pivots sent to each, so no cell is one task.
+    """
+    mark = F.xxhash64("rep", "vector", F.lit(turn))
+    rows = rows.join(sizes, "cell").withColumn(
+        "bucket",
+        F.pmod(mark, F.least(F.lit(FANOUT), F.greatest(F.lit(2), F.ceil(F.col("rows") * 2 / BLOCK_ROWS)))),
+    )
+    first = rows.groupBy("cell", "bucket").agg(F.min("rep").alias("rep"))
+    pivots = rows.join(first, ["cell", "bucket", "rep"]).dropDuplicates(["cell", "bucket"])
+    pivots = materialise(pivots.select("cell", "bucket", "vector", "rows"), "pivots")
+    salts = F.ceil(F.col("rows") / SALT_ROWS)
+    flat = (F.col("radius") <= _SLACK) | F.lit(turn >= MAX_TURNS)
+    data = rows.select(
+        "cell", F.pmod(F.xxhash64("rep", "vector"), salts).alias("salt"), F.lit(1).alias("side"),
+        "bucket", "rep", "n", "vector", F.coalesce(flat, F.lit(False)).alias("flat"),
+    )
+    heads = pivots.select(
+        "cell", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)).alias("salt"), F.lit(0).alias("side"),
+        "bucket", F.lit(0).cast("long").alias("rep"), F.lit(0).cast("long").alias("n"), "vector",
+        F.lit(False).alias("flat"),
+    )
+    both = heads.unionByName(data).repartition("cell", "salt").sortWithinPartitions("cell", "salt", "side")
+    kind = rows.schema["vector"].dataType.simpleString()
+    placed = both.mapInPandas(_to_nearest, f"rep long, n long, cell string, far double, vector {kind}")
+    nodes = pivots.select(F.concat_ws("/", "cell", "bucket").alias("node"), F.col("cell").alias("parent"), "vector")
+    return materialise(placed, "placed"), nodes
+
+
+def _blocks(classes: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """Classes under their block (``cell``), the tree of cells, and its height.
+
+    A node has ``node``, ``parent`` (null for the cell of a whole group), ``vector`` (its pivot),
+    ``radius`` and ``whole``: whether it is a block.
+    """
+    rows = classes.select("rep", "n", F.sha2("grp", 256).alias("cell"), F.lit(None).cast("double").alias("far"), "vector")
+    done, tree, turn = [], [], 0
+    nodes = rows.groupBy("cell").agg(F.any_value("vector").alias("vector"))
+    nodes = nodes.select(F.col("cell").alias("node"), F.lit(None).cast("string").alias("parent"), "vector")
+    while True:
+        sizes = rows.groupBy("cell").agg(F.count(F.lit(1)).alias("rows"), F.max("far").alias("radius"))
+        sizes = materialise(sizes, "cells")
+        whole = F.col("rows") <= BLOCK_ROWS
+        known = sizes.select(F.col("cell").alias("node"), "radius", whole.alias("whole"))
+        tree.append(nodes.join(known, "node"))
+        done.append(rows.join(sizes.filter(whole).select("cell"), "cell").select("cell", "rep", "n", "vector"))
+        large = sizes.filter(~whole)
+        if large.isEmpty():
+            break
+        rows, nodes = _divided(rows, large, turn)
+        turn += 1
+    for more in done[1:]:
+        done[0] = done[0].unionByName(more)
+    for more in tree[1:]:
+        tree[0] = tree[0].unionByName(more)
+    return done[0], materialise(tree[0], "cell_tree"), turn
+
+
+def _children_pairs(limit: float):
+    """For pairs of cells, with the children of both: pairs of children that can hold a link."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
-            for group, part in batch.groupby("grp", sort=False):
-                unit = _unit(np.stack(part["vector"].to_numpy()).astype(float))
-                ids, centres = by_group.get(group, (None, None))
-                cell, far = np.full(len(part), -1), np.full(len(part), 2.0)
-                if ids is not None:
-                    cosines = unit @ centres.T
-                    best = cosines.argmax(axis=1)
-                    cell, far = ids[best], distances(cosines[np.arange(len(part)), best])
-                out.append(
-                    pd.DataFrame(
+            for x, y, kids_x, kids_y in batch[["x", "y", "kids_x", "kids_y"]].itertuples(index=False, name=None):
+                (a, ra, wa, ua), (b, rb, wb, ub) = [
+                    (
+                        [k["node"] for k in kids],
+                        np.array([k["radius"] for k in kids], float),
+                        np.array([k["whole"] for k in kids], bool),
+                        _unit(np.stack([k["vector"] for k in kids])),
+                    )
+                    for kids in (kids_x, kids_y)
+                ]
+                near = distances(ua @ ub.T) <= ra[:, None] + rb[None, :] + limit + _SLACK
+                i, j = np.nonzero(np.triu(near) if x == y else near)
+                if len(i):
+                    yield pd.DataFrame(
                         {
-                            "rep": part["rep"].to_numpy(), "n": part["n"].to_numpy(), "grp": group,
-                            "cell": cell, "far": far, "unit": [u.tobytes() for u in unit],
+                            "x": [a[k] for k in i], "y": [b[k] for k in j],
+                            "whole": wa[i] & wb[j],
                         }
-                    )
-                )
-            if out:
-                yield pd.concat(out)
-
-    rows = classes.select("rep", "n", "grp", F.col("vector").cast("array<double>").alias("vector"))
-    return rows.mapInPandas(run, "rep long, n long, grp string, cell long, far double, unit binary")
-
+                    )
 
-def _near_cells(pivots: list[tuple[str, int, bytes]], limit: float):
-    """Column: whether two blocks can hold a pair, by pivots, radii and the threshold."""
-    vectors = {p[1]: np.frombuffer(p[2]) for p in pivots}
+    return run
 
-    @F.pandas_udf("boolean")
-    def near(a: pd.Series, ra: pd.Series, b: pd.Series, rb: pd.Series) -> pd.Series:
-        out = []
-        for x, rx, y, ry in zip(a, ra, b, rb):
-            known = x in vectors and y in vectors
-            apart = distances(np.dot(vectors[x], vectors[y])) if known else 0.0
-            out.append(bool(apart <= rx + ry + limit + _SLACK))
-        return pd.Series(out, dtype=bool)
 
-    return near
+def _block_pairs(tree: DataFrame, height: int, cosine: float) -> DataFrame:
+    """Pairs ``x``, ``y`` of blocks that can hold a link, each pair once, by descent from the groups."""
+    kid = F.struct("node", F.coalesce("radius", F.lit(2.0)).alias("radius"), "whole", "vector")
+    below = tree.filter("parent is not null").select("parent", kid.alias("kid"))
+    # a block stands for itself until its partner is one; a cell has FANOUT children at most
+    below = below.unionByName(
+        tree.filter("whole and parent is not null").select(F.col("node").alias("parent"), kid.alias("kid"))
+    )
+    families = materialise(below.groupBy("parent").agg(F.array_sort(F.collect_list("kid")).alias("kids")), "families")
+    pairs = tree.filter("parent is null").select(F.col("node").alias("x"), F.col("node").alias("y"), "whole")
+    found = pairs.filter("whole").select("x", "y")
+    for _ in range(height):
+        sides = [families.select(F.col("parent").alias(c), F.col("kids").alias(f"kids_{c}")) for c in ("x", "y")]
+        sent = pairs.filter("not whole").select("x", "y").join(sides[0], "x").join(sides[1], "y")
+        run = _children_pairs(threshold_distance(cosine))
+        pairs = materialise(sent.mapInPandas(run, "x string, y string, whole boolean"), "cell_pairs")
+        found = found.unionByName(pairs.filter("whole").select("x", "y"))
+    return found
 
 
-def _compare(rows: DataFrame, cosine: float) -> DataFrame:
-    """Per block pair the links that span it (``b`` set) and the link counts (``b`` null)."""
+def _trees(blocks: DataFrame) -> DataFrame:
+    """One row per block: its classes, their vectors and their cover tree, pickled."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[tuple] = []
 
         def finished() -> pd.DataFrame:
-            ids = np.array([h[2] for h in held], np.int64)
-            weights = np.array([h[3] for h in held], np.int64)
-            unit = np.stack([np.frombuffer(h[4]) for h in held])
-            split = sum(h[1] == 0 for h in held)
-            left = CoverTree(unit[:split])
-            if split == len(held):
-                x, y = dual_pairs(left, left, cosine)
-            else:
-                x, y = dual_pairs(left, CoverTree(unit[split:]), cosine)
-                y = y + split
-            counts = np.bincount(x, weights[y], len(held)) + np.bincount(y, weights[x], len(held))
-            own = np.flatnonzero(counts)
-            a, b = spanning_links(len(held), x, y)
-            return pd.concat(
-                [
-                    pd.DataFrame({"a": ids[a], "b": ids[b], "n": 0}).astype({"b": "Int64"}),
-                    pd.DataFrame({"a": ids[own], "b": pd.NA, "n": counts[own].astype(np.int64)}).astype({"b": "Int64"}),
-                ]
-            )
+            vectors = np.stack([h[3] for h in held])
+            tree = CoverTree(_unit(vectors))
+            nodes = (tree.centre, tree.radius, tree.children, tree.members, tree.reach)
+            ids, weights = np.array([h[1] for h in held], np.int64), np.array([h[2] for h in held], np.int64)
+            return pd.DataFrame({"cell": [held[0][0]], "tree": [pickle.dumps((ids, weights, vectors, nodes))]})
 
         for batch in batches:
-            for row in batch.itertuples(index=False, name=None):
+            for row in batch[["cell", "rep", "n", "vector"]].itertuples(index=False, name=None):
                 if held and row[0] != held[0][0]:
                     yield finished()
                     held = []
@@ -212,7 +330,43 @@ def _compare(rows: DataFrame, cosine: float) -> DataFrame:
         if held:
             yield finished()
 
-    return rows.select("pair", "side", "rep", "n", "unit").mapInPandas(run, "a long, b long, n long")
+    ordered = blocks.repartition("cell").sortWithinPartitions("cell", "rep")
+    return ordered.mapInPandas(run, "cell string, tree binary")
+
+
+def _loaded(data: bytes) -> tuple[np.ndarray, np.ndarray, CoverTree]:
+    ids, weights, vectors, nodes = pickle.loads(data)
+    tree = CoverTree.__new__(CoverTree)
+    tree.unit = _unit(vectors)
+    tree.centre, tree.radius, tree.children, tree.members, tree.reach = nodes
+    return ids, weights, tree
+
+
+def _compare(pairs: DataFrame, cosine: float) -> DataFrame:
+    """Per block pair the links that span it (``b`` set) and the link counts (``b`` null)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        name, right = None, None
+        for batch in batches:
+            for x, y, first, second in batch[["x", "y", "first", "second"]].itertuples(index=False, name=None):
+                if y != name:
+                    name, right = y, _loaded(second)
+                ids, weights, tree = right if x == y else _loaded(first)
+                i, j = dual_pairs(tree, right[2], cosine)
+                if x != y:
+                    j = j + len(ids)
+                    ids, weights = np.concatenate([ids, right[0]]), np.concatenate([weights, right[1]])
+                counts = np.bincount(i, weights[j], len(ids)) + np.bincount(j, weights[i], len(ids))
+                own = np.flatnonzero(counts)
+                a, b = spanning_links(len(ids), i, j)
+                yield pd.concat(
+                    [
+                        pd.DataFrame({"a": ids[a], "b": ids[b], "n": 0}).astype({"b": "Int64"}),
+                        pd.DataFrame({"a": ids[own], "b": pd.NA, "n": counts[own].astype(np.int64)}).astype({"b": "Int64"}),
+                    ]
+                )
+
+    return pairs.select("x", "y", "first", "second").mapInPandas(run, "a long, b long, n long")
 
 
 def _usable(vector: Column) -> Column:
@@ -241,16 +395,17 @@ def vector_duplicates(
     """
     spark = vectors.sparkSession
     bounded_batches(spark)
+    numeric = vectors.schema[vector_col].dataType.simpleString()
+    kind = numeric if numeric == "array<float>" else "array<double>"
     rows = vectors.select(
         F.col(id_col).cast("long").alias("id"),
-        F.col(vector_col).cast("array<double>").alias("vector"),
+        F.col(vector_col).cast(kind).alias("vector"),
         F.concat_ws(":", F.size(vector_col).cast("string"), F.col(label_col).cast("string")).alias("grp"),
         F.col(label_col).isNotNull().alias("labelled"),
     )
     usable = F.coalesce(F.col("id").isNotNull() & F.col("labelled") & _usable(F.col("vector")), F.lit(False))
-    rows = materialise(
-        rows.select("id", F.when(usable, F.col("vector")).alias("vector"), F.when(usable, F.col("grp")).alias("grp")),
-        "vectors",
+    rows = rows.select(
+        "id", F.when(usable, F.col("vector")).alias("vector"), F.when(usable, F.col("grp")).alias("grp")
     )
     classes = materialise(
         rows.filter("grp is not null")
@@ -258,39 +413,13 @@ def vector_duplicates(
         .agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n")),
         "vector_classes",
     )
-    total = classes.count()
-    wanted = min(MAX_PIVOTS, math.ceil(total / BLOCK_ROWS))
-    sample = classes.filter(F.pmod(F.xxhash64("rep"), F.lit(max(1, total))) < wanted)
-    # a bounded sample, only to place rows near each other
-    chosen = sample.orderBy(F.xxhash64("rep"), "rep").limit(MAX_PIVOTS).select("grp", "rep", "vector").collect()
-    pivots = [(r["grp"], r["rep"], _unit(np.array([r["vector"]], float))[0].tobytes()) for r in chosen]
-
-    placed = materialise(_placed(classes, pivots), "placed")
-    cells = placed.groupBy("grp", "cell").agg(F.count(F.lit(1)).alias("rows"))
-    chunk = F.pmod(F.xxhash64("rep", F.lit(1)), F.ceil(F.col("rows") / BLOCK_ROWS))
-    placed = materialise(
-        placed.join(cells, ["grp", "cell"]).withColumn("block", F.struct("grp", "cell", chunk.alias("chunk"))),
-        "blocks",
-    )
-    blocks = materialise(placed.groupBy("block").agg(F.max("far").alias("radius")), "block_radii")
-    ends = [
-        blocks.select(F.col("block.grp").alias("grp"), F.col("block").alias(x), F.col("radius").alias(f"r{x}"))
-        for x in ("x", "y")
+    blocks, tree, height = _blocks(classes)
+    trees = materialise(_trees(blocks), "block_trees")
+    sides = [
+        trees.select(F.col("cell").alias(c), F.col("tree").alias(t)) for c, t in (("x", "first"), ("y", "second"))
     ]
-    near = _near_cells(pivots, threshold_distance(cosine))
-    pairs = (
-        ends[0].join(ends[1], "grp")
-        .filter("x <= y")
-        .filter(near("x.cell", "rx", "y.cell", "ry"))
-        .select("x", "y", F.to_json(F.struct("x", "y")).alias("pair"))
-    )
-    pairs = materialise(pairs, "vector_pairs")
-    calls = pairs.select("pair", F.lit(0).alias("side"), F.col("x").alias("block")).unionByName(
-        pairs.filter("x <> y").select("pair", F.lit(1).alias("side"), F.col("y").alias("block"))
-    )
-    sent = placed.join(calls, "block").select("pair", "side", "rep", "n", "unit")
-    sent = sent.repartition("pair").sortWithinPartitions("pair", "side", "rep")
-    found = materialise(_compare(sent, cosine), "vector_links")
+    pairs = _block_pairs(tree, height, cosine).join(sides[0], "x").join(sides[1], "y")
+    found = materialise(_compare(pairs, cosine), "vector_links")
 
     links = found.filter("b is not null").select("a", "b")
     components = materialise(connected_components(links), "vector_components")

@@ -397,7 +397,13 @@ def test_dual_traversal_finds_all_pairs(spread):
     unit = points / np.linalg.norm(points, axis=1, keepdims=True)
     tree = covertree.CoverTree(unit)
     for node, kids in enumerate(tree.children):
-        assert all(tree.radius[k] <= tree.radius[node] / 1 or len(tree.members[k]) for k in kids)
+        assert not kids or tree.centre[kids[0]] == tree.centre[node]
+        for k in kids:
+            assert tree.reach[k] <= tree.reach[node] / 2 and tree.radius[k] <= tree.reach[k] < tree.radius[node]
+            apart = covertree.distances(unit[[tree.centre[o] for o in kids if o != k]] @ unit[tree.centre[k]])
+            assert (apart > tree.reach[k]).all()
+    if spread == 0.01:
+        assert tree.computed < len(unit) ** 2 / 8
     x, y = covertree.dual_pairs(tree, tree, 0.98)
     assert len(x) == len(set(zip(x, y))) and set(zip(np.minimum(x, y), np.maximum(x, y))) == pairs_of(unit, 0.98)
     a, b = covertree.CoverTree(unit[:150]), covertree.CoverTree(unit[150:])
@@ -421,3 +427,32 @@ def test_blocks_and_pivots_lose_no_link(spark, monkeypatch):
     from mirrorflow.llm.oracles import VECTORS
 
     assert difference(covertree.vector_duplicates(df), con, VECTORS) is None
+
+
+def test_cells_of_many_levels_and_of_one_direction_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(covertree, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(covertree, "FANOUT", 3)
+    monkeypatch.setattr(covertree, "SALT_ROWS", 20)
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(20, 6))
+    points = np.repeat(centres, 15, axis=0) + 0.1 * rng.normal(size=(300, 6))
+    points = np.concatenate([points, points[:1] * np.linspace(1, 3, 60)[:, None]])
+    rows = [(i, [float(v) for v in p], 1) for i, p in enumerate(points)] + [(0, [1.0, 2.0, 0.0, 0.0, 0.0, 5.0], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    blocks, tree, height = covertree._blocks(
+        df.groupBy(F.col("label").cast("string").alias("grp"), F.col("embedding").alias("vector")).agg(
+            F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("n")
+        )
+    )
+    sizes = [r["count"] for r in blocks.groupBy("cell").count().collect()]
+    assert sum(sizes) == len({tuple(r[1]) for r in rows}) and max(sizes) <= 16 and height > 2
+    pairs = covertree._block_pairs(tree, height, 0.98).collect()
+    assert len({frozenset(p) for p in pairs}) == len(pairs) < len(sizes) * (len(sizes) + 1) / 2
+    con = duckdb.connect()
+    table = df.filter("vec_id > 0").toPandas()
+    con.register("embeddings", table)
+    from compare import difference
+
+    from mirrorflow.llm.oracles import VECTORS
+
+    assert difference(covertree.vector_duplicates(df.filter("vec_id > 0")), con, VECTORS) is None
