@@ -16,7 +16,7 @@ from catalogue.derive import CUTOVER_YEAR, SPECIAL_REPORTERS, Fixture, fixture,
 from mirrorflow.functions import codes
 from mirrorflow.functions import semantics as S
 from mirrorflow.operators import (
-    absorb, checks, flows, gravity, hotkeys, impute, median, ols, ppml, ranks, ratios, valuation,
+    absorb, checks, flows, formula, gravity, hotkeys, impute, median, ols, ppml, ranks, ratios, valuation,
 )
 from mirrorflow.plans import analysis, imputation, training
 from mirrorflow.sources import pages, schemas, tables
@@ -1274,3 +1274,49 @@ def bound_rows(fx, spark, sf_dir):
         orders.filter("o_orderkey % 3 = 2").select(F.col("o_orderkey").cast("long").alias("k"), F.col("o_orderstatus").alias("note")),
     ]
     return rounded(tables.bind_rows([materialise(p, "part") for p in parts]))
+
+
+# --- formulas and the stored analysis ---------------------------------------------------------
+
+FORMULA = " + ".join(["log_dist * contig", "log_dist_sq", "log_uv_exp", "landlocked_reporter", "landlocked_partner", "factor(year)"])
+FORMULA_TERMS = [*training.REGRESSORS, "log_dist:contig"]
+
+
+@register(
+    "q69_formula_model",
+    model_sql.coefficient_sql(0, FORMULA_TERMS, "_0"),
+    {
+        "mz_d0": MODEL_ROWS.replace(f", {Y} AS y", f", CAST(log_dist * contig AS DOUBLE) AS x7, {Y} AS y"),
+        **model_sql.fit_blocks("mz_d0", 7, "_0"),
+    },
+)
+def formula_model(fx, spark, sf_dir):
+    """The full model and an interaction, from the text of a formula."""
+    fit = formula.fit_formula(training_table(fx), f"{Y} ~ {FORMULA}", W)
+    level = [None] * len(fit.levels[1:])
+    errors = [*fit.std_error[: 1 + len(fit.x)], *level]
+    rows = [(0, t, b, e, fit.n, fit.r_squared) for t, b, e in zip(fit.terms, fit.estimate, errors)]
+    return rounded(spark.createDataFrame(rows, "fit int, term string, estimate double, std_error double, n bigint, r_squared double"))
+
+
+@register(
+    "q70_analysis_store",
+    f"""SELECT 'ols_n' AS metric, CAST(count(*) AS DOUBLE) AS value FROM mz_d0
+UNION ALL SELECT 'ppml_n', CAST(count(*) AS DOUBLE) FROM mz_d0
+UNION ALL SELECT 'ols_r_squared', {O.val('1 - rss / tss')} FROM mz_v_0
+UNION ALL SELECT 'ppml:(Intercept)', {O.val('ln(m)')} FROM (
+  SELECT avg({PPML_Y}) AS m FROM training WHERE year = (SELECT min(year) FROM training)) t""",
+    {"mz_d0": MODEL_ROWS, **{k: v for k, v in model_sql.fit_blocks("mz_d0", 6, "_0").items() if k != "mz_i_0"}},
+)
+def analysis_store(fx, spark, sf_dir):
+    """The analysis of both models, stored and read back: what does not depend on the tests of the form."""
+    path, rows = scratch_path(spark, "analysis"), training_table(fx)
+    fit = ols.fit_wls(rows, Y, training.REGRESSORS, W, training.GROUP)
+    poisson = ppml.fit_ppml(rows, PPML_Y, [], training.GROUP)
+    analysis.save_analysis(
+        analysis.model_analysis(rows, rows, fit, poisson), analysis.coefficient_comparison(spark, fit, poisson), path
+    )
+    metrics, terms = analysis.load_analysis(spark, path)
+    shown = metrics.filter(F.col("metric").isin("ols_n", "ppml_n", "ols_r_squared"))
+    first = terms.filter("model = 'ppml' and term = '(Intercept)'")
+    return rounded(shown.unionByName(first.select(F.lit("ppml:(Intercept)").alias("metric"), F.col("estimate").alias("value"))))

@@ -58,3 +58,15 @@ def model_analysis(
         ("ppml_negative_fitted", float(below_ppml)),
     ]
     return spark.createDataFrame(values, METRICS)
+
+
+def save_analysis(metrics: DataFrame, table: DataFrame, path: str) -> None:
+    """Store the metrics of ``model_analysis`` and the table of ``coefficient_comparison`` under ``path``."""
+    metrics.coalesce(1).write.mode("overwrite").parquet(f"{path}/metrics")
+    table.coalesce(1).write.mode("overwrite").parquet(f"{path}/coefficients")
+
+
+def load_analysis(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """The stored metrics and coefficients."""
+    metrics = spark.read.schema(METRICS).parquet(f"{path}/metrics")
+    return metrics, spark.read.schema(f"model string, {ols.COEFFICIENTS}").parquet(f"{path}/coefficients")
