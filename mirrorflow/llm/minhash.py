@@ -380,7 +380,8 @@ def without_near_duplicates(
         F.col(f"`{id_col}`").cast("long").alias("_own"), _text_key(f"`{text_col}`").alias("_text"),
     )
     same = F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_key"))
-    left = packed.join(marked.filter("not kept"), same, "left_anti")
+    # one plan for every size: what goes grows with the rows, so it is never broadcast
+    left = packed.join(marked.filter("not kept").hint("merge"), same, "left_anti")
     again = marked.filter("kept").drop("kept")
     if again.isEmpty():
         return left.select("_row.*")
