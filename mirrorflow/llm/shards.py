@@ -19,6 +19,7 @@ from mirrorflow.sources.scratch import materialise
 
 BITS = 10
 _PART_ROWS = (1 << 33) - 1
+NEW = ("curve", "shard", "slot")
 
 
 def ranked(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
@@ -88,6 +89,19 @@ def _index(columns: Sequence[str], bits: int) -> Column:
     return index(*[F.col(c) for c in columns])
 
 
+def _apart(names: Sequence[str], new: Sequence[str]) -> list[str]:
+    """``names``, with underscores appended to those that are among ``new``, in any case."""
+    taken = {n.lower() for n in (*names, *new)}
+    out = []
+    for name in names:
+        if name.lower() in new:
+            while name.lower() in taken:
+                name += "_"
+            taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def hilbert_shards(
     rows: DataFrame, dimensions: Sequence[str], tie: str, shards: int, bits: int = BITS
 ) -> DataFrame:
@@ -96,21 +110,24 @@ def hilbert_shards(
     The law is that of row counts: shards differ by one row at most, and with fewer rows than
     shards some stay empty. Rows at the same place of the curve follow ``tie``; a null dimension
     is its least value, and rows alike in ``tie`` too stand in any order. An empty table gives
-    an empty table. ``rows`` must not have columns that start with an underscore or bear the new
-    names; ``dimensions`` times ``bits`` is 62 at most.
+    an empty table. Columns of ``rows`` may have any names that differ: one that bears a new name
+    gets underscores appended until it differs from all. ``dimensions`` times ``bits`` is 62 at most.
     """
     if len(dimensions) * bits > 62:
         raise ValueError("the index of the curve has to fit a long")
     codes = [f"_code{i}" for i in range(len(dimensions))]
-    coded = rows
-    for dimension, code in zip(dimensions, codes):
+    own = {c: f"column{i}" for i, c in enumerate(rows.columns)}
+    coded, tie = rows.toDF(*own.values()), own[tie]
+    for dimension, code in zip([own[d] for d in dimensions], codes):
         coded = quantised(coded, dimension, code, bits)
     coded = coded.withColumn("curve", _index(codes, bits)).drop(*codes)
     placed = ranked(coded, ["curve", tie], "_place")
     total = max(1, rows.count())
     shard = F.expr(f"(_place * {shards}) div {total}")
     first = F.expr(f"(shard * {total} + {shards} - 1) div {shards}")
-    return placed.withColumn("shard", shard).withColumn("slot", F.col("_place") - first).drop("_place")
+    placed = placed.withColumn("shard", shard).withColumn("slot", F.col("_place") - first)
+    names = _apart(rows.columns, NEW)
+    return placed.select(*[F.col(c).alias(n) for c, n in zip(own.values(), names)], *NEW)
 
 
 def write_shards(rows: DataFrame, path: str, shards: int) -> None:
