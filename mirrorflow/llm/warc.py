@@ -1,9 +1,11 @@
 """WARC archives of pages in Zstandard frames with a dictionary of their own.
 
 An archive begins with a skippable frame that holds a dictionary built from its records; each record
-is a frame of its own, compressed with it. Spark's text writer puts the frames into files, with all
-it knows of file systems and of tasks that fail: what it writes between two rows is set to an empty
-skippable frame, which readers of the format pass over. Archives are read back as binary files.
+is a frame of its own, compressed with it. An archive that has reached a size is ended and another
+begun, with a dictionary of its own, so that writers and readers hold no more than one of that size.
+Spark's text writer puts each archive into a file, with all it knows of file systems and of tasks that
+fail: what it writes after a row is set to an empty skippable frame, which readers of the format
+pass over. Archives are read back as binary files.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ SEPARATOR = struct.pack("<II", SKIPPABLE[0], 0).decode("ascii")
 MIN_REVISIT_BYTES = 1000
 DICTIONARY_BYTES = 32 << 10
 TRAIN_BYTES = 2 << 20
+ARCHIVE_BYTES = 64 << 20
 LEVEL = 3
 _REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -121,28 +124,43 @@ def frames(records: Iterator[bytes]) -> Iterator[bytes]:
         yield from begun()
 
 
-def write_archives(
-    records: DataFrame, path: str, id_col: str, url_col: str, text_col: str, date: str
-) -> None:
-    """Write an archive per partition below ``path``."""
+def archives(records: Iterator[bytes], archive_bytes: int) -> Iterator[bytes]:
+    """Archives of the records in order, each ended by the record with which it reaches ``archive_bytes``.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = (row for batch in batches for row in batch.itertuples(index=False, name=None))
+    What waits for a dictionary does not count before it is compressed.
+    """
+    for first in records:
         some, size = [], 0
-        for frame in frames(record(*row, date) for row in rows):
+
+        def own() -> Iterator[bytes]:
+            yield first
+            while size < archive_bytes and (one := next(records, None)) is not None:
+                yield one
+
+        for frame in frames(own()):
             some.append(frame)
             size += len(frame)
-            if size >= 4 << 20:
-                yield pd.DataFrame({"frame": some})
-                some, size = [], 0
-        yield pd.DataFrame({"frame": some}, dtype=object)
+        yield b"".join(some)
+
+
+def write_archives(
+    records: DataFrame, path: str, id_col: str, url_col: str, text_col: str, date: str,
+    archive_bytes: int = ARCHIVE_BYTES,
+) -> None:
+    """Write the archives of each partition below ``path``, a file each."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = (row for batch in batches for row in batch.itertuples(index=False, name=None))
+        for archive in archives((record(*row, date) for row in rows), archive_bytes):
+            yield pd.DataFrame({"archive": [archive]})
 
     rows = records.select(
         F.col(id_col).cast("string"), F.col(url_col), F.col(text_col), "payload_digest", "record_type",
         F.col("refers_to").cast("string"),
     )
-    out = rows.mapInPandas(run, "frame binary").select(F.col("frame").cast("string").alias("value"))
-    out.write.option("lineSep", SEPARATOR).option("compression", "none").text(path)
+    out = rows.mapInPandas(run, "archive binary").select(F.col("archive").cast("string").alias("value"))
+    writer = out.write.option("lineSep", SEPARATOR).option("compression", "none")
+    writer.option("maxRecordsPerFile", 1).text(path)
 
 
 def _frame_end(data: memoryview, at: int) -> int:
@@ -237,6 +255,7 @@ def archive_pages(
     text_col: str = "html",
     min_bytes: int = MIN_REVISIT_BYTES,
     date: str = "1970-01-01T00:00:00Z",
+    archive_bytes: int = ARCHIVE_BYTES,
 ) -> None:
     """Write all rows of ``pages`` to archives below ``path``, which must not exist.
 
@@ -245,7 +264,8 @@ def archive_pages(
     null url leaves its header out. A null id is less than any other and written as none; if
     all ids of a group are null its rows are all responses. Rows that share an id share its type
     for equal payloads. Other columns are not looked at. An empty table gives a folder without archives.
+    An archive ends with the record with which it reaches ``archive_bytes``.
     """
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("url"), F.col(text_col).alias("text"))
     typed = record_types(rows, "id", "text", min_bytes)
-    write_archives(typed, path, "id", "url", "text", date)
+    write_archives(typed, path, "id", "url", "text", date, archive_bytes)
