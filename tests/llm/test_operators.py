@@ -2,9 +2,11 @@
 
 import base64
 import hashlib
+import math
 import random
 import re
 import struct
+import zlib
 
 import duckdb
 import numpy as np
@@ -124,6 +126,35 @@ def test_archives_are_plain_zstandard(spark, tmp_path):
         assert bytes(back[p.page_id].payload) == (p.html or "").encode()
 
 
+def test_archives_end_at_a_size(spark, tmp_path):
+    path, limit = str(tmp_path / "warc"), 50_000
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    warc.archive_pages(pages.coalesce(1), path, archive_bytes=limit)
+    sizes = [f.stat().st_size for f in (tmp_path / "warc").glob("part-*")]
+    raw = sum(len((p.html or "").encode()) for p in pages.collect())
+    back = warc.read_archives(spark, path)
+    assert back.count() == pages.count()
+    assert back.select("page_id").distinct().count() == pages.select("page_id").distinct().count()
+    assert max(sizes) < raw and (len(sizes) > 1 or sum(sizes) < limit + warc.TRAIN_BYTES)
+
+    rnd = random.Random(8)
+    records = [rnd.randbytes(rnd.randrange(1, 200_000)) for _ in range(120)]
+    made = list(warc.archives(iter(records), 1 << 20))
+    assert [x for a in made for x in warc.records_of(a)] == records  # in order, none lost, none twice
+    assert len(made) > 3 and max(map(len, made)) < (1 << 20) + warc.TRAIN_BYTES + 300_000
+    assert all(struct.unpack_from("<I", a)[0] == warc.DICTIONARY_MAGIC for a in made)
+    assert list(warc.archives(iter([]), 1)) == []
+
+
+def test_text_writer_keeps_every_byte(spark, tmp_path):
+    every = [bytes(range(256)), b"\r\n\0\xff\xfe", bytes([i for i in range(256) for _ in range(3)])]
+    for i, data in enumerate(every):
+        df = spark.createDataFrame([(data,)], "x binary").select(F.col("x").cast("string").alias("value"))
+        df.coalesce(1).write.option("lineSep", warc.SEPARATOR).text(str(tmp_path / f"t{i}"))
+        got = spark.read.format("binaryFile").load(str(tmp_path / f"t{i}")).select("content").collect()
+        assert b"".join(bytes(r[0]) for r in got) == data + warc.SEPARATOR.encode("ascii")
+
+
 def test_damage_is_noticed():
     one = warc.record("7", "u", "text", hashlib.sha1(b"text").hexdigest(), "response", None, "2020-01-01T00:00:00Z")
     assert warc.parsed(one)[:4] == (7, 4, hashlib.sha1(b"text").hexdigest(), "response")
@@ -322,9 +353,53 @@ def test_written_shards(spark, tmp_path):
     assert sorted((r.shard, r.slot) for r in few) == [(0, 0), (2, 0), (5, 0)]
 
 
+def test_shards_keep_columns_of_any_name(spark):
+    columns = "curve string, Shard string, slot string, slot_ string, _place int, _code0 int, _at int, doc_id long, d int"
+    rows = [("c", f"s{i}", "t", "u", i, i, i, i, i % 4) for i in range(20)]
+    out = shards.hilbert_shards(spark.createDataFrame(rows, columns), ["d", "_code0"], "doc_id", 4)
+    own = ["curve_", "Shard_", "slot__", "slot_", "_place", "_code0", "_at", "doc_id", "d"]
+    assert out.columns == [*own, "curve", "shard", "slot"]
+    got = out.orderBy("doc_id").collect()
+    assert [tuple(r[c] for c in own) for r in got] == rows
+    assert sorted((r.shard, r.slot) for r in got) == [(s, k) for s in range(4) for k in range(5)]
+
+
+def test_ranges_skip_shards(spark):
+    rnd = random.Random(4)
+    rows = [(i, rnd.randrange(1024), rnd.randrange(1024)) for i in range(4096)]
+    df = spark.createDataFrame(rows, "doc_id long, a int, b int")
+    held = shards.hilbert_shards(df, ["a", "b"], "doc_id", 64).groupBy("shard").agg(
+        F.min("a").alias("a0"), F.max("a").alias("a1"), F.min("b").alias("b0"), F.max("b").alias("b1")
+    ).collect()
+    in_a, in_b = ({r.shard for r in held if r[x] < 128} for x in ("a0", "b0"))
+    # an eighth of either dimension: an order by one of them would leave all 64 for the other
+    assert len(in_a) <= 20 and len(in_b) <= 20 and len(in_a & in_b) <= 6
+
+
 # --- toxicity ---------------------------------------------------------------------------------
 
 
+def test_scores_are_those_of_plain_python(spark):
+    """The whole query against each text scored by itself from the model's features."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    model = toxicity.fit_severity(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    got = {r.doc_id: r for r in QUERIES["op3_ordinal_toxicity"](spark, SF).collect()}
+    weight = dict(zip(model.features.tolist(), model.weights.tolist()))
+    assert weight
+    rows = docs.collect()
+    assert len(got) == len(rows)
+    for doc_id, text in rows:
+        seen = {}
+        for word in re.sub(r"[\W\d_]", " ", (text or "").lower()).split():
+            for part in [word] + ["^" + word[:n] for n in (4, 5, 6, 7) if len(word) > n]:
+                bucket = zlib.crc32(part.encode()) % 2**21
+                seen[bucket] = seen.get(bucket, 0) + 1
+        score = sum(weight[b] * math.log1p(n) for b, n in seen.items() if b in weight)
+        above = [1 / (1 + math.exp(min(50, max(-50, t - score)))) for t in model.thresholds]
+        assert got[doc_id].expected_severity == pytest.approx(sum(above), abs=1e-9)
+        assert got[doc_id].grade == sum(p >= 0.5 for p in above)
+
+
 def test_held_out_accuracy(spark):
     root = "/root/testdata/sf0.1"
     docs = spark.read.parquet(f"{root}/documents.parquet").select("doc_id", "text")
