@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import json
 import os
-import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -35,7 +34,9 @@ HEADLINE = (
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = (
+    from mirrorflow.sources.scratch import clear_scratch, local_session
+
+    builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("mirrorflow-bench")
         .config("spark.sql.shuffle.partitions", cpus)
@@ -44,15 +45,12 @@ def main() -> None:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
     )
+    spark = local_session(builder)
     spark.sparkContext.setLogLevel("ERROR")
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="mirrorflow-"))
 
     from catalogue.derive import fixture
     from catalogue.queries import QUERIES, imputed, training_table
-    from mirrorflow.sources.scratch import clear_scratch
 
     times: dict[str, float] = {}
     shared = {"derive": fixture, "training_table": training_table, "imputed_table": imputed}

@@ -7,11 +7,26 @@ true size of the table, so that a small one is broadcast and a large one is not,
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+def local_session(builder: SparkSession.Builder) -> SparkSession:
+    """The session of ``builder`` for work on one machine, such as tests and benchmarks.
+
+    Where ``spark.checkpoint.dir`` is unset it becomes a temporary folder. The setting is fixed when
+    a session starts, so one that lacks it is started again.
+    """
+    spark = builder.getOrCreate()
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        spark.stop()
+        folder = tempfile.mkdtemp(prefix="mirrorflow-")
+        spark = builder.config("spark.checkpoint.dir", folder).getOrCreate()
+    return spark
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``; if unset, one in the session's warehouse.
 

@@ -9,7 +9,6 @@ import glob
 import math
 import os
 import sys
-import tempfile
 import time
 
 import duckdb
@@ -57,21 +56,19 @@ def difference(df: DataFrame, con: duckdb.DuckDBPyConnection, text: str) -> str
 
 def main() -> int:
     import __spark_entry__ as E
-    from mirrorflow.sources.scratch import clear_scratch
+    from mirrorflow.sources.scratch import clear_scratch, local_session
 
     sf_dir, wanted = sys.argv[1], sys.argv[2:]
-    spark = (
+    builder = (
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
-        .getOrCreate()
     )
+    spark = local_session(builder)
     spark.sparkContext.setLogLevel("ERROR")
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="mirrorflow-"))
     con, oracles, bad = duck(sf_dir), E.oracle_sql(), 0
     for name, query in E.queries().items():
         if wanted and not any(name.startswith(w) for w in wanted):

@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 from pyspark.sql import SparkSession
@@ -11,7 +10,9 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 @pytest.fixture(scope="session")
 def spark():
-    session = (
+    from mirrorflow.sources.scratch import local_session
+
+    builder = (
         SparkSession.builder.master("local[8]")
         .appName("mirrorflow-tests")
         .config("spark.sql.shuffle.partitions", "8")
@@ -19,11 +20,9 @@ def spark():
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
-        .getOrCreate()
     )
+    session = local_session(builder)
     session.sparkContext.setLogLevel("ERROR")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="mirrorflow-"))
     yield session
     session.stop()
 
