@@ -71,3 +71,25 @@ def test_codes_are_those_of_the_formatter(spark):
         hs("01", n).alias("c"), F.format_string("01%04d", n.cast("long")).alias("d"),
     )
     assert all(r["a"] == r["b"] and r["c"] == r["d"] for r in out.collect())
+
+
+def test_share_is_of_judged_reports(spark):
+    """Units and numbers of reports are not exchanged; both sides have to pass, a side that is absent does not."""
+    from mirrorflow.functions import codes
+    from mirrorflow.plans import training
+
+    kg = codes.KILOGRAMS
+    rows = [
+        ("export", "a", "b", "1", kg, 50.0, 3000.0), ("import", "b", "a", "1", kg, 60.0, 3000.0),
+        ("export", "a", "b", "2", kg, 50.0, 3000.0), ("import", "b", "a", "2", kg, 60.0, 2000.0),
+        ("export", "a", "c", "1", kg, 50.0, 3000.0), ("import", "c", None, "1", None, None, 9000.0),
+        ("export", "a", "d", "1", None, 50.0, 3000.0), ("import", "d", "a", "1", kg, 50.0, 3000.0),
+    ]
+    schema = "trade_flow string, reporter_iso string, partner_iso string, commodity_code string, qty_unit string, trade_value_usd double, qty double"
+    part = spark.createDataFrame(rows, schema).withColumn("aggregate_level", F.lit(6))
+    both = part.withColumn("year", F.explode(F.array(F.lit(1997), F.lit(1998))))
+    out = training.remaining_share(both, spark.createDataFrame([("1", "9"), ("2", "9")], "hs02 string, hs12 string"), 1998)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    joins = re.findall(r"Join FullOuter.*", plan)
+    assert len(joins) == 2 and "trade_value_usd_exp" not in plan
+    assert sorted(map(tuple, out.collect())) == [(1997, 5, 1, 0.2), (1998, 5, 1, 0.2)]
