@@ -93,3 +93,37 @@ def test_share_is_of_judged_reports(spark):
     joins = re.findall(r"Join FullOuter.*", plan)
     assert len(joins) == 2 and "trade_value_usd_exp" not in plan
     assert sorted(map(tuple, out.collect())) == [(1997, 5, 1, 0.2), (1998, 5, 1, 0.2)]
+
+
+def test_imputation_writes_what_its_output_needs(spark, tmp_path):
+    from catalogue import model as M
+    from catalogue.derive import CUTOVER_YEAR
+    from mirrorflow.operators import impute
+    from mirrorflow.plans import imputation
+    from mirrorflow.sources.scratch import materialise
+
+    lines = [(1, 1, 1, 1, 2.0, 10.0, 0.0, 0.0, "R"), (2, 2, 1, 1, 1.0, 3.0, 0.0, 1.0, "A")]
+    fx = Fixture(spark, given_tables(spark, tmp_path, lines))
+    staged = {}
+
+    def stage(df, name):
+        staged.setdefault(name, set(df.columns))
+        return materialise(df, name)
+
+    args = (fx.flows, fx.lookups, M.OLS_MODEL, CUTOVER_YEAR)
+    out = imputation.impute_flows(*args, stage=stage, check=False)
+    assert staged["mirror"] == set(imputation.LABELLED_FROM)
+    assert staged["labelled"] == set(impute.MIRRORED_FROM) | set(impute.FALLBACK_FROM)
+    whole = imputation.imputed_flows(*args, check=False)
+    assert {"reported_by", "qty_imp", "contig"} <= set(whole.columns)
+    assert sorted(map(str, impute.mirror_output(whole).collect())) == sorted(map(str, out.collect()))
+
+
+def test_flows_are_written_without_a_sort_and_the_setting_goes_back(spark):
+    from catalogue.derive import _unsorted
+
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name, None)
+    with _unsorted(spark):
+        assert spark.conf.get(name) == "200"
+    assert spark.conf.get(name, None) == before
