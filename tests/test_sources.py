@@ -150,3 +150,14 @@ def test_bound_rows(spark, rows):
     assert tables.wider_type(T.DateType(), T.TimestampType()) == T.TimestampType()
     with pytest.raises(TypeError, match="column v"):
         tables.bind_rows([a, a.selectExpr("cast(v as string) as v")])
+
+
+def test_names_are_cut_per_file(spark, tmp_path):
+    """The manifest counts rows by path; no expression on names is evaluated per row."""
+    path = str(tmp_path / "t")
+    tables.write_by_year(spark.createDataFrame([(2001, 1), (2001, 2), (2002, 3)], "year int, v int"), path)
+    files = tables._year_files(spark, path)
+    plan = files._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract(path#" in plan and "regexp_extract(_metadata" not in plan
+    assert sorted((r["year"], r["n_rows"]) for r in files.collect()) == [(2001, 2), (2002, 1)]
+    assert tables.present_years(spark, path) == [2001, 2002]
