@@ -291,7 +291,7 @@ def fit_absorbed_ppml(
         """Rows with the linear index ``_index`` and the fitted value ``_mu``."""
         if values is None:
             start = (F.col("_y") + F.lit(centre.y)) / 2
-            return rows.withColumn("_index", F.log(start)).withColumn("_mu", start)
+            return rows.withColumn("_index", S.ieee_log(start)).withColumn("_mu", start)
         joined, parts = _with_levels(rows, values, ["value"])
         index = parts["value"]
         for name, b in zip(names, beta):
@@ -305,7 +305,7 @@ def fit_absorbed_ppml(
         work = stage(work.select(*effects, *columns, "_w", "_y", "_mu"), "absorbed_step")
         inner = max(tolerance, min(1e-2, 0.1 * moved))
         tables, _ = project_out(work, columns, "_w", effects, tables, inner, stage=stage)
-        fitted = F.col("_y") * F.when(F.col("_y") > 0, F.log(F.col("_y") / F.col("_mu"))).otherwise(0.0)
+        fitted = F.col("_y") * F.when(F.col("_y") > 0, S.ieee_log(S.ieee_div("_y", "_mu"))).otherwise(0.0)
         more = {"deviance": F.sum(fitted - (F.col("_y") - F.col("_mu")))}
         more |= {f"b_{i}": F.sum(F.col("_w") * F.col(f"_raw{i}") * F.col(f"_raw{i}")) for i in range(len(x))}
         raw = work.withColumns({f"_raw{i}": F.col(c) for i, c in enumerate(names)})
