@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from mirrorflow.llm.text import SPACE, without, words
 from mirrorflow.sources.scratch import materialise
 
+WORD = r"[^\x20\x09-\x0D]"
 CLASSES = ("lower", "space", "upper", "digit", "punct", "symbol", "other")
 
 
@@ -40,9 +41,12 @@ def _repeat_positions(df: DataFrame) -> DataFrame:
     def window(i: Column) -> list[Column]:
         return [F.get("_words", i + j) for j in range(3)]
 
-    starts = F.sequence(F.lit(0), F.size("_words") - 3)
-    codes = F.transform(starts, lambda i: F.hash(*window(i)))
+    # each word is hashed once, a window by the hashes of its words
+    df = df.withColumn("_hashes", F.transform("_words", lambda w: F.hash(w)))
+    first = F.slice("_hashes", F.lit(1), F.size("_hashes") - 2)
+    codes = F.transform(first, lambda h, i: F.hash(h, F.get("_hashes", i + 1), F.get("_hashes", i + 2)))
     df = df.withColumn("_codes", F.when(F.size("_words") >= 3, codes).otherwise(F.array().cast("array<int>")))
+    df = df.drop("_hashes")
     packed = F.transform(
         "_codes", lambda h, i: F.shiftleft(h.cast("long"), 32).bitwiseOR(i.cast("long"))
     )
@@ -103,15 +107,17 @@ def language_references(docs: DataFrame, lang: Column, text: Column, limits: Lim
     is the language ''. Languages with fewer than ``min_reference_words`` words are left out.
     """
     rows = docs.select(F.coalesce(lang, F.lit("")).alias("_lang"), text.alias("_text"))
-    # split no further than needed to tell whether there are so many words
-    first = F.array_remove(F.split("_text", SPACE, limits.min_words + 1), "")
-    rows = rows.filter(F.size(first) >= limits.min_words)
+    if limits.min_words > 0:
+        # one anchored match, no further than needed to tell whether there are so many words
+        some = rf"\A{SPACE[:-1]}*+(?:{WORD}++{SPACE}+){{{limits.min_words - 1}}}{WORD}"
+        rows = rows.filter(F.col("_text").rlike(some))
+    rows = rows.filter(F.col("_text").isNotNull())
     classes = counted(rows, F.col("_text")).groupBy("_lang").agg(
         F.array(*[F.sum(F.col(f"_counts.{c}")) for c in CLASSES]).alias("class_sums")
     )
     by_word = (
-        rows.select("_lang", F.explode(words(F.col("_text"))).alias("word"))
-        .groupBy("_lang", F.lower("word").alias("word"))
+        rows.select("_lang", F.explode(words(F.lower("_text"))).alias("word"))
+        .groupBy("_lang", "word")
         .agg(F.count(F.lit(1)).alias("times"))
     )
     order = Window.partitionBy("_lang").orderBy(F.desc("times"), "word")
