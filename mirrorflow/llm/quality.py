@@ -64,7 +64,8 @@ def _repeat_positions(df: DataFrame) -> DataFrame:
     )
     place = F.transform(met, lambda x: x.bitwiseAND(F.lit((1 << 32) - 1)).cast("int"))
     df = df.withColumn("_met", F.when(F.size("_sorted") > 1, place).otherwise(F.array().cast("array<int>")))
-    spelled = F.array_sort(
+    # the natural order of sort_array, not array_sort, which would run a comparator on every pair
+    spelled = F.sort_array(
         F.transform("_met", lambda i: F.struct(F.struct(*window(i)).alias("w"), i.alias("i")))
     )
     df = df.withColumn("_spelled", spelled).drop("_sorted", "_met")

@@ -13,3 +13,12 @@ def test_documents_of_fifty_words_count_whatever_stands_around_them(spark):
     assert row["common"] == ["a", "οδος"]
     assert row["word_shares"][1:] == [100 / 150, 50 / 150]
     assert "lower(word" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_repeated_windows_are_sorted_without_a_comparator(spark):
+    texts = ["a b c " * 20, "x y z é " + "p q r s é x y z é t", "one two three four", "k k k k", "a b", "", None]
+    docs = spark.createDataFrame([(i, "x", t) for i, t in enumerate(texts)], "doc_id long, lang string, text string")
+    found = quality.quality_rules(docs)
+    assert "array_sort(" not in found._jdf.queryExecution().optimizedPlan().toString()
+    again = {r.doc_id: r.n_repeat_words for r in found.collect()}
+    assert again == {0: 60, 1: 8, 2: 0, 3: 4, 4: 0, 5: 0, 6: 0}
