@@ -9,6 +9,10 @@ it, and then block by block where two blocks share four lists: collisions of all
 are counted for a block at once, and what reaches the threshold is confirmed on full shingle sets.
 Blocks whose members all hang on the same class are skipped, so a large group of copies that are
 alike costs a comparison per member.
+
+Tables with a row per class, posting or block are joined by merging at every size. They grow with the
+input, and Spark's estimates of them are too low: an array counts as one value, exploded or not, and a
+file as large as it is compressed. Only sums per home may be broadcast; their shuffle tells their size.
 """
 
 from __future__ import annotations
@@ -90,7 +94,7 @@ def postings(classes: DataFrame, k: int, threshold: int) -> DataFrame:
     )
     shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     per_class = (
-        tokens.join(shared, "token")
+        tokens.join(shared.hint("merge"), "token")
         .groupBy("rep")
         .agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("ordered"))
         .filter(F.size("ordered") >= threshold)
@@ -235,7 +239,7 @@ def _home_links(members: DataFrame, percent: int) -> DataFrame:
     homes = members.filter("root").select(
         F.col("rep").alias("home"), F.col("shingles").alias("home_shingles")
     )
-    return far.join(homes, "home").mapInPandas(run, "rep long, home long, linked boolean")
+    return far.join(homes.hint("merge"), "home").mapInPandas(run, "rep long, home long, linked boolean")
 
 
 def similar_links(
@@ -246,16 +250,16 @@ def similar_links(
     posted = materialise(postings(classes, k, threshold), "postings")
     lists = posted.groupBy("token").agg(F.min("rep").alias("first"), F.max("rep").alias("last"))
     lists = lists.filter("first < last").select("token", "first")
-    joint = materialise(posted.join(lists, "token"), "joint")
+    joint = materialise(posted.join(lists.hint("merge"), "token"), "joint")
     homes = materialise(joint.groupBy("rep").agg(F.min("first").alias("home")), "homes")
     roots = homes.select(F.col("home").alias("rep")).distinct().withColumn("root", F.lit(True))
-    homes = homes.join(roots, "rep", "left").withColumn("root", F.coalesce("root", F.lit(False)))
-    wanted = classes.select("rep", "first", "set_key", "sig", "n_shingles").join(homes, "rep")
+    homes = homes.join(roots.hint("merge"), "rep", "left").withColumn("root", F.coalesce("root", F.lit(False)))
+    wanted = classes.select("rep", "first", "set_key", "sig", "n_shingles").join(homes.hint("merge"), "rep")
     members = materialise(_members(docs, id_col, text_col, wanted, size), "members")
     near = materialise(_home_links(members, percent), "home_links")
 
     placed = members.select("rep", "home", "n_shingles").join(
-        near.select("rep", "linked"), "rep", "left"
+        near.select("rep", "linked").hint("merge"), "rep", "left"
     ).select("rep", "home", "n_shingles", F.coalesce("linked", F.lit(True)).alias("linked"))
     counts = placed.groupBy("home", "linked").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("n_shingles").alias("shingles")
@@ -269,10 +273,10 @@ def similar_links(
     )
     placed = materialise(placed.distinct(), "placed")
 
-    at = materialise(joint.join(placed, "rep").select("token", "block").distinct(), "listed")
+    at = materialise(joint.join(placed.hint("merge"), "rep").select("token", "block").distinct(), "listed")
     pairs = (
         at.select("token", F.col("block").alias("x"))
-        .join(at.select("token", F.col("block").alias("y")), "token")
+        .join(at.select("token", F.col("block").alias("y")).hint("merge"), "token")
         .filter("x < y and not (x.linked and y.linked and x.home = y.home)")
         .groupBy("x", "y")
         .agg(F.count(F.lit(1)).alias("shared"))
@@ -286,9 +290,9 @@ def similar_links(
     sides = pairs.select("pair", F.lit(0).alias("side"), F.col("x").alias("block")).unionByName(
         pairs.filter("x <> y").select("pair", F.lit(1).alias("side"), F.col("y").alias("block"))
     )
-    calls = placed.join(sides, "block").select("rep", "pair", "side")
+    calls = placed.join(sides.hint("merge"), "block").select("rep", "pair", "side")
     rows = (
-        members.join(calls, "rep")
+        members.join(calls.hint("merge"), "rep")
         .select("pair", "side", "rep", "sig", "shingles")
         .repartition("pair")
         .sortWithinPartitions("pair", "side", "rep")
@@ -315,12 +319,14 @@ def _grouped(
     classes = materialise(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")
     links = similar_links(docs, id_col, text_col, classes, percent, size, coordinates)
     found = materialise(connected_components(links), "components")
-    roots = classes.select("set_key", "rep", "first").join(found.withColumnRenamed("id", "rep"), "rep", "left")
+    found = found.withColumnRenamed("id", "rep").hint("merge")
+    roots = classes.select("set_key", "rep", "first").join(found, "rep", "left")
     roots = materialise(
         roots.select("set_key", "first", F.coalesce("component", "rep").alias("component")), "class_roots"
     )
     firsts = roots.groupBy("component").agg(F.min("first").alias("first"))
-    return known, roots.select("set_key", "component").join(firsts, "component").select("set_key", "first")
+    roots = roots.select("set_key", "component").join(firsts.hint("merge"), "component")
+    return known, roots.select("set_key", "first")
 
 
 def near_duplicates(
@@ -367,7 +373,7 @@ def without_near_duplicates(
     """
     known, roots = _grouped(docs, id_col, text_col, percent, size, coordinates, True)
     own = F.struct(F.col("id").isNull().alias("nameless"), "id", "text_key")
-    judged = known.filter("n_shingles > 0").join(roots, "set_key")
+    judged = known.filter("n_shingles > 0").join(roots.hint("merge"), "set_key")
     judged = judged.groupBy("id", "text_key").agg(
         F.every(own == F.col("first")).alias("kept"), F.count(F.lit(1)).alias("n")
     )
@@ -382,7 +388,7 @@ def without_near_duplicates(
     same = F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_key"))
     # one plan for every size: what goes grows with the rows, so it is never broadcast
     left = packed.join(marked.filter("not kept").hint("merge"), same, "left_anti")
-    again = marked.filter("kept").drop("kept")
+    again = marked.filter("kept").drop("kept").hint("merge")
     if again.isEmpty():
         return left.select("_row.*")
     several = left.join(again, same, "left_semi").groupBy("_own", "_text").agg(F.min("_row").alias("_row"))

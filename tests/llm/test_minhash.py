@@ -78,6 +78,30 @@ def test_against_all_pairs(spark, percent, monkeypatch):
     assert found(df, percent) == brute_force(rows, percent)
 
 
+def test_nothing_that_grows_is_broadcast(spark, monkeypatch):
+    """Spark takes these tables for small, and the exploded signatures for no larger than the classes."""
+    rows = corpus()
+    df = spark.createDataFrame(rows + rows[:3], "doc_id long, text string")
+    plans, write, components = {}, minhash.materialise, minhash.connected_components
+
+    def planned(table, name):
+        plans[name] = table._jdf.queryExecution().executedPlan().toString()
+        return table
+
+    monkeypatch.setattr(minhash, "materialise", lambda table, name: write(planned(table, name), name))
+    monkeypatch.setattr(minhash, "connected_components", lambda links: components(planned(links, "found")))
+    for run in (minhash.without_near_duplicates,):
+        plans.clear()
+        planned(run(df), "result")
+        joined = {name for name, plan in plans.items() if "SortMergeJoin" in plan}
+        want = {"postings", "joint", "home_links", "placed", "listed", "block_pairs", "found", "class_roots"}
+        assert joined >= want | {"result"}
+        for name, plan in plans.items():
+            broadcast = [x for x in plan.splitlines() if re.search("Broadcast(Hash|NestedLoop)Join", x)]
+            # the sums per home, a row for each
+            assert not [x for x in broadcast if not (name == "placed" and "linked" in x)], name
+
+
 def test_awkward_rows(spark):
     rows = awkward_documents()
     assert found(documents(spark, rows), 85) == brute_force([r[:2] for r in rows], 85)
