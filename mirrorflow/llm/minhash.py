@@ -349,7 +349,7 @@ def near_duplicates(
     known, roots = _grouped(docs, id_col, text_col, percent, size, coordinates, False)
     rows = known.select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.col("set_key")).alias("set_key"))
     component = F.coalesce(F.col("first.id"), F.col("id"))
-    return rows.join(roots, "set_key", "left").select(
+    return rows.join(roots.hint("merge"), "set_key", "left").select(
         F.col("id").alias("doc_id"),
         "n_shingles",
         component.alias("component_id"),

@@ -90,7 +90,7 @@ def test_nothing_that_grows_is_broadcast(spark, monkeypatch):
 
     monkeypatch.setattr(minhash, "materialise", lambda table, name: write(planned(table, name), name))
     monkeypatch.setattr(minhash, "connected_components", lambda links: components(planned(links, "found")))
-    for run in (minhash.without_near_duplicates,):
+    for run in (minhash.near_duplicates, minhash.without_near_duplicates):
         plans.clear()
         planned(run(df), "result")
         joined = {name for name, plan in plans.items() if "SortMergeJoin" in plan}
