@@ -12,7 +12,7 @@ alike costs a comparison per member.
 
 Tables with a row per class, posting or block are joined by merging at every size. They grow with the
 input, and Spark's estimates of them are too low: an array counts as one value, exploded or not, and a
-file as large as it is compressed. Only sums per home may be broadcast; their shuffle tells their size.
+file as large as it is compressed.
 """
 
 from __future__ import annotations
@@ -264,11 +264,13 @@ def similar_links(
     counts = placed.groupBy("home", "linked").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("n_shingles").alias("shingles")
     )
+    # written, so that both sides of the join are read from a shuffle and a large home can be split
+    counts = materialise(counts, "home_counts")
     chunks = F.greatest(
         F.ceil(F.col("rows") / BLOCK_ROWS), F.ceil(F.col("shingles") * 8 / BLOCK_BYTES), F.lit(1)
     )
     chunk = F.pmod(F.xxhash64("rep"), chunks)
-    placed = placed.join(counts, ["home", "linked"]).select(
+    placed = placed.join(counts.hint("merge"), ["home", "linked"]).select(
         "rep", F.struct("home", "linked", chunk.alias("chunk")).alias("block")
     )
     placed = materialise(placed.distinct(), "placed")
@@ -324,7 +326,8 @@ def _grouped(
     roots = materialise(
         roots.select("set_key", "first", F.coalesce("component", "rep").alias("component")), "class_roots"
     )
-    firsts = roots.groupBy("component").agg(F.min("first").alias("first"))
+    # written for the same reason as ``home_counts``
+    firsts = materialise(roots.groupBy("component").agg(F.min("first").alias("first")), "group_firsts")
     roots = roots.select("set_key", "component").join(firsts.hint("merge"), "component")
     return known, roots.select("set_key", "first")
 
